@@ -2,7 +2,7 @@
 
 A page is cut into blocks at block-level tags. Pass one decides a block from where it stands (menus, footers, adverts and
 the like by element, role and class names; the article by its element), its length, its stop-word density and its link
-density. Short blocks without a clear sign stay open. Pass two gives an open block the label of the nearest decided blocks
+density. Short blocks outside of an article element and single linked blocks inside stay open. Pass two gives an open block the label of the nearest decided blocks
 of its region.
 """
 
@@ -56,6 +56,7 @@ class Block:
     region: int  # 0: outside of any article
     away: bool
     links: int = 0
+    item: bool = False  # of a list
     label: bool | None = field(default=None)
 
 
@@ -82,7 +83,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked, size, link_from
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text and not head:
-            out.append(Block(text, region, away, linked + (size - link_from if link_from >= 0 else 0)))
+            out.append(Block(text, region, away, linked + (size - link_from if link_from >= 0 else 0), bool(stack) and stack[-1][0] == "li"))
         parts.clear()
         linked, size, link_from = 0, 0, 0 if link_from >= 0 else -1
 
@@ -145,14 +146,16 @@ def decide(blocks: list[Block]) -> None:
         if b.away or structured and not b.region:
             b.label = False
         elif b.links > LINKED * len(b.text):
-            b.label = False if not b.region or n >= SOME_WORDS else None
-        elif b.region and n >= SOME_WORDS or n >= LONG_WORDS and density >= POOR or n >= SOME_WORDS and density >= RICH:
+            b.label = False if b.item or not b.region else None
+        elif b.region or n >= LONG_WORDS and density >= POOR or n >= SOME_WORDS and density >= RICH:
             b.label = True
     # For each block the nearest decided one of its region on either side: (distance, label).
     near: list[list[tuple[int, bool]]] = [[] for _ in blocks]
     for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
         last: dict[int, int] = {}
         for k in order:
+            if blocks[k].away:
+                continue  # it is part of something else that stands here
             if blocks[k].label is not None:
                 last[blocks[k].region] = k
             elif (j := last.get(blocks[k].region)) is not None:

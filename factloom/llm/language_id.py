@@ -22,9 +22,20 @@ from factloom.llm.runtime import ensure_importable
 WINDOW = 96
 WIDTHS = (2, 3, 4)
 UNKNOWN = "und"
+_FOLD = T.LOWER.copy()
+_FOLD[0x30:0x3A] = 0x30
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """Bytes with letters of ASCII and of the Latin-1 block in lower case, and every digit a zero."""
+    out = _FOLD[data]
+    if len(data) > 1:
+        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][capital] += 0x20
+    return out
+
+
 def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All windows of all rows (the last of a row is filled with zeros) and their rows."""
     n = -(-np.diff(offsets) // WINDOW)
@@ -71,15 +82,18 @@ class ByteConvNet:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, classes: list[str], d: int = 8, f: int = 16, epochs: int = 6, batch: int = 256, rate: float = 4e-3, seed: int = 5) -> ByteConvNet:
-    """Adam on the cross-entropy of windows; the gradient flows through each filter's largest response."""
+def train(x: np.ndarray, y: np.ndarray, classes: list[str], d: int = 8, f: int = 16, epochs: int = 6, steps: int = 300, batch: int = 128, rate: float = 4e-3, seed: int = 5) -> ByteConvNet:
+    """Adam on the cross-entropy of windows; the gradient flows through each filter's largest response.
+
+    At least ``epochs`` passes and ``steps`` steps are made, so that a small sample is learnt as well.
+    """
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.5, (256, d))]
     params += [rng.normal(0, 1 / np.sqrt(w * d), (w * d, f)) for w in WIDTHS] + [np.zeros(f) for _ in WIDTHS]
     params += [rng.normal(0, 0.1, (f * len(WIDTHS), len(classes))), np.zeros(len(classes))]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     nw, step = len(WIDTHS), 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * batch // max(len(x), 1)))):
         order = rng.permutation(len(x))
         for lo in range(0, len(x), batch):
             xb, yb = x[order[lo : lo + batch]].astype(np.int64), y[order[lo : lo + batch]]
@@ -154,7 +168,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     source = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), F.col(id_col).alias("_id")).where("octet_length(t) > 0")
     sample = source.join(chosen, ["_id", "lang"]).select("t", "lang", F.xxhash64("_id").alias("key")).mapInArrow(some, "w binary, lang string, key long")
     got = sorted(map(tuple, sample.distinct().collect()), key=lambda r: (r[1], r[2], bytes(r[0])))
-    data = np.frombuffer(b"".join(bytes(r[0]).ljust(WINDOW, b"\0") for r in got), np.uint8).reshape(-1, WINDOW)
+    data = folded(np.frombuffer(b"".join(bytes(r[0]).ljust(WINDOW, b"\0") for r in got), np.uint8)).reshape(-1, WINDOW)
+    # A fifth of the windows is cut short, as those of short texts are.
+    rng = np.random.default_rng(11)
+    ends = np.where(rng.random(len(data)) < 0.2, rng.integers(6, WINDOW, len(data)), WINDOW)
+    data = np.where(np.arange(WINDOW) < ends[:, None], data, 0).astype(np.uint8)
     y = np.array([langs.index(r[1]) for r in got])
     return train(data, y, langs)
 
@@ -178,7 +196,7 @@ def identify(docs: DataFrame, model: ByteConvNet | None, text_col: str = "text")
             data, offsets = T.flat(text)
             for lo, hi in T.blocks(offsets, 1 << 17):
                 off = offsets[lo : hi + 1] - offsets[lo]
-                block = data[offsets[lo] : offsets[hi]]
+                block = folded(data[offsets[lo] : offsets[hi]])
                 x, row = windows(block, off)
                 total = np.zeros((hi - lo, len(net.classes)))
                 for k in range(0, len(x), 1024):

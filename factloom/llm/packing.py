@@ -141,7 +141,8 @@ def pack(items: Iterator[Item], limits: Limits, cut: bool = True, pool_size: int
         for part in _power_parts(total):
             seq = []
             while part:
-                piece, rest = queue.pop(0).head(min(part, queue[0].length))
+                item = queue.pop(0)
+                piece, rest = item.head(min(part, item.length))
                 if rest is not None:
                     queue.insert(0, rest)
                 part -= piece.length
