@@ -19,22 +19,39 @@ from factloom.llm.runtime import cut
 _ALL_GIVEN = sorted((n for names in GIVEN.values() for n in names), key=lambda n: (-len(n), n))
 _TITLES = sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-KEY = r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])"
-SECRET = r"""(?<=(?:token|secret|passwd|password|api_key|apikey|access_key)["']{0,1} {0,1}[=:] {0,1}["'])[^"'\s]{6,}(?=["'])"""
-HEX = r"(?<![A-Za-z0-9])(?=[a-f]*[0-9])(?:[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])"
-IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])(?!\.[0-9])"
-PHONE = r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
-NATIONAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+EMAIL = r"(?=[A-Za-z0-9._%+-])(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+KEY = r"(?=[Agsx])(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])"
+SECRET = r"""(?<=["'])(?<=(?:token|secret|passwd|password|api_key|apikey|access_key)["']{0,1} {0,1}[=:] {0,1}["'])[^"'\s]{6,}(?=["'])"""
+HEX = r"(?=[0-9a-f])(?<![A-Za-z0-9])(?=[a-f]*+[0-9])(?:[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])"
+IP = rf"(?=[0-9])(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])(?!\.[0-9])"
+PHONE = r"(?=[+(])(?<![0-9])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4})(?![0-9])"
+NATIONAL = r"(?=[0-9])(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+CARD = r"(?=[0-9])(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
+IBAN = r"(?=[A-Z])(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _SURNAME = r"\p{Lu}[\p{L}'’-]+"
 PERSON = (
-    rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{'|'.join(_TITLES)})\.? (?:{_SURNAME} )?{_SURNAME}|(?:{'|'.join(_ALL_GIVEN)})(?!\p{{L}})(?: {_SURNAME})?)"
+    rf"(?=[A-ZÀ-ÞА-Я])(?<!\p{{L}})(?:(?:{'|'.join(_TITLES)})\.? (?:{_SURNAME} )?{_SURNAME}|(?:{'|'.join(_ALL_GIVEN)})(?!\p{{L}})(?: {_SURNAME})?)"
 )
 #: In the order in which they are tried.
 KINDS = {"email": EMAIL, "key": KEY, "secret": SECRET, "secret_hex": HEX, "iban": IBAN, "ip": IP, "phone": PHONE, "national": NATIONAL, "card": CARD, "person": PERSON}
 PATTERN = "|".join(KINDS.values())
+
+
+def _may_have(text: Column) -> Column:
+    """False only for texts without any entity: every kind has one of these signs, and the signs are cheap to look for."""
+    signs = [text.rlike("[0-9]"), *(F.contains(text, F.lit(x)) for x in ("@", "AKIA", "ASIA")), text.rlike(r"gh[pousr]_|sk-|xox[abprs]-"), text.rlike("[=:] ?[\"']"), text.rlike(PERSON)]
+    out = signs[0]
+    for x in signs[1:]:
+        out = out | x
+    return out
+
+
+def entities_of(text: Column) -> Column:
+    """All entities of a text in order; none for a null text."""
+    none = F.array().cast("array<string>")
+    return F.coalesce(F.when(_may_have(text), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), none)
+
+
 #: Letters are drawn from the alphabet that they stand in. Fixed values.
 _ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "àáâäåèéêëíîïñóôöøùúûüç", "абвгдежзиклмнопрстуфхцчшщыэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
 _HEX_ALPHABETS = ("0123456789", "abcdef")
@@ -177,8 +194,8 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool =
     two names are replaced, and all others are left alone.
     """
     docs = docs.drop("n_entities", "kinds")
-    ents = F.regexp_extract_all(F.col(text_col), F.lit(PATTERN), F.lit(0))
-    found = docs.withColumn("_ents", F.coalesce(ents, F.array().cast("array<string>")))
+    ents = entities_of(F.col(text_col))
+    found = docs.withColumn("_ents", ents)
     changed = None
     if check:
         values = docs.select(F.explode(ents).alias("value")).distinct()
