@@ -1,0 +1 @@
+"""Scalar functions: builders of Column expressions that stay inside the JVM."""

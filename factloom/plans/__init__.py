@@ -1,0 +1 @@
+"""Registered queries and pipelines of operators."""

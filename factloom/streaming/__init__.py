@@ -1,0 +1 @@
+"""Mini-batch ingestion with Structured Streaming."""
