@@ -21,7 +21,12 @@ _TITLES = sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EMAIL = r"(?=[A-Za-z0-9._%+-])(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 KEY = r"(?=[Agsx])(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])"
-SECRET = r"""(?<=["'])(?<=(?:token|secret|passwd|password|api_key|apikey|access_key)["']{0,1} {0,1}[=:] {0,1}["'])[^"'\s]{6,}(?=["'])"""
+#: A secret with the word that announces it; the word and the quote stay.
+SECRET = (
+    r"""(?=[PpSsTtAaCc])(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|client[_-]?key)["']? ?[=:] ?"""
+    r"""(?:["'][^"'\s]{6,}|(?=[^"'\s,;]*[0-9])[^"'\s,;]{6,})"""
+)
+_ANNOUNCED = r"""^([^=:]*[=:] ?["']?)(.*)$"""
 HEX = r"(?=[0-9a-f])(?<![A-Za-z0-9])(?=[a-f]*+[0-9])(?:[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])"
 IP = rf"(?=[0-9])(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])(?!\.[0-9])"
 PHONE = r"(?=[+(])(?<![0-9])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4})(?![0-9])"
@@ -33,7 +38,7 @@ PERSON = (
     rf"(?=[A-ZÀ-ÞА-Я])(?<!\p{{L}})(?:(?:{'|'.join(_TITLES)})\.? (?:{_SURNAME} )?{_SURNAME}|(?:{'|'.join(_ALL_GIVEN)})(?!\p{{L}})(?: {_SURNAME})?)"
 )
 #: In the order in which they are tried.
-KINDS = {"email": EMAIL, "key": KEY, "secret": SECRET, "secret_hex": HEX, "iban": IBAN, "ip": IP, "phone": PHONE, "national": NATIONAL, "card": CARD, "person": PERSON}
+KINDS = {"secret": SECRET, "email": EMAIL, "key": KEY, "secret_hex": HEX, "iban": IBAN, "ip": IP, "phone": PHONE, "national": NATIONAL, "card": CARD, "person": PERSON}
 PATTERN = "|".join(KINDS.values())
 
 
@@ -59,12 +64,11 @@ _CODE_ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOP
 
 
 def kind_of(entity: Column) -> Column:
-    """The first kind whose pattern matches the entity alone; a secret is known by its surroundings, so it is what is left."""
+    """The first kind whose pattern matches the entity alone; one that its surroundings alone made an entity is a secret."""
     out = None
     for kind, pattern in KINDS.items():
-        if kind != "secret":
-            cond = entity.rlike(f"^(?:{pattern})$")
-            out = F.when(cond, kind) if out is None else out.when(cond, kind)
+        cond = entity.rlike(f"^(?:{pattern})$")
+        out = F.when(cond, kind) if out is None else out.when(cond, kind)
     return out.otherwise("secret")
 
 
@@ -139,10 +143,18 @@ def surrogate(entity: Column, key: str, attempt: Column | None = None) -> Column
     """The replacement of an entity."""
     attempt = F.lit(0) if attempt is None else attempt
     kind = kind_of(entity)
-    plain = F.when(kind.isin("phone", "card", "national"), F.regexp_replace(entity, "[^0-9]", "")).when(kind == "email", F.lower(entity)).otherwise(entity)
-    seed = F.sha2(F.concat_ws("|", F.lit(key), kind, plain, attempt.cast("string")), 256)
+    # A secret without the word that announces it is replaced by the same value.
+    value = F.when(kind == "secret", F.regexp_extract(entity, _ANNOUNCED, 2)).otherwise(entity)
+    label = F.when(kind != "secret", kind).when(value.rlike(f"^(?:{HEX})$"), "secret_hex").when(value.rlike(f"^(?:{KEY})$"), "key").otherwise(kind)
+    plain = F.when(kind.isin("phone", "card", "national"), F.regexp_replace(entity, "[^0-9]", "")).when(kind == "email", F.lower(entity)).otherwise(value)
+    seed = F.sha2(F.concat_ws("|", F.lit(key), label, plain, attempt.cast("string")), 256)
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.lower(F.substring_index(entity, "@", -1))), 256)
     host = F.regexp_replace(F.substring_index(entity, "@", -1), r"\.[A-Za-z0-9-]+$", "")
+    code = (
+        F.when(label == "key", F.concat(F.substr(value, F.lit(1), F.lit(4)), _letters(F.substr(value, F.lit(5)), seed, _CODE_ALPHABETS)))
+        .when(value.rlike("^[0-9a-f]+$"), _letters(value, seed, _HEX_ALPHABETS))
+        .otherwise(_letters(value, seed, _CODE_ALPHABETS))
+    )
     return (
         F.when(kind == "email", F.concat(_letters(F.substring_index(entity, "@", 1), seed, _ALPHABETS[:5]), F.lit("@"), _letters(host, domain, _ALPHABETS[:5]), F.lit(".example")))
         .when(kind == "ip", _ip(seed))
@@ -151,9 +163,8 @@ def surrogate(entity: Column, key: str, attempt: Column | None = None) -> Column
         .when(kind == "national", _digits(entity, seed))
         .when(kind == "person", _person(entity, key, attempt))
         .when(kind == "iban", F.concat(F.substr(entity, F.lit(1), F.lit(2)), _letters(F.substr(entity, F.lit(3)), seed, _CODE_ALPHABETS)))
-        .when(kind == "key", F.concat(F.substr(entity, F.lit(1), F.lit(4)), _letters(F.substr(entity, F.lit(5)), seed, _CODE_ALPHABETS)))
-        .when(kind == "secret_hex", _letters(entity, seed, _HEX_ALPHABETS))
-        .otherwise(_letters(entity, seed, _CODE_ALPHABETS))
+        .when(kind == "secret", F.concat(F.regexp_extract(entity, _ANNOUNCED, 1), code))
+        .otherwise(code)
     )
 
 

@@ -399,6 +399,10 @@ def test_surrogates(spark):
         assert v not in r.text and len(new) == len(set(new.values()))
     assert got[len(flat)].text == " and ".join(new.values()) and got[len(flat)].n_entities == len(flat)
     assert got[len(flat) + 1].kinds == "secret" and "s3cr3t" not in got[len(flat) + 1].text
+    hidden = [f"a {w} b" for w in ("password=b7db7aa4a5fcc78305", "API_KEY: 'xyz-secret-1'", 'token = "0641917ea4e9feb9cda83477b57ac2654884f485"')]
+    out = [r.text for r in sorted(pii_surrogates.replace_pii(docs(spark, [*hidden, "The token: description, password = none"]), "k").collect(), key=lambda r: r.doc_id)]
+    assert re.fullmatch(r"a password=[0-9a-f]{18} b", out[0]) and "b7db7aa4a5fcc78305" not in out[0] and re.fullmatch(r"a API_KEY: '[a-z]{3}-[a-z]{6}-[0-9]' b", out[1])
+    assert out[2] == f'a token = "{new[PLANTED["secret_hex"][0]]}" b' and out[3] == "The token: description, password = none"
     assert re.fullmatch(r"\+\d \(\d{3}\) \d{3}-\d{4}", new["+1 (342) 555-8390"])
     assert luhn(new["4111111111111111"]) and luhn(new["4012 8888 8888 1881"]) and new["4012 8888 8888 1881"].count(" ") == 3
     assert re.fullmatch(r"Mr [A-Z][a-z]+", new["Mr Smith"]) and new["Frau Müller"].startswith("Frau ")
@@ -426,7 +430,7 @@ def test_surrogate_clashes_are_resolved(spark, monkeypatch):
 
 
 def test_surrogates_remove_all_planted(spark, documents):
-    found = re.compile(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b4\d{15}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b|AKIA[0-9A-Z]{16}")
+    found = re.compile(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b4\d{15}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b|AKIA[0-9A-Z]{16}|(?<=password=)\w+")
     out = {r.doc_id: r.text for r in pii_surrogates.replace_pii(documents, "k").collect()}
     n = 0
     for r in documents.collect():
