@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from factloom.llm import texts as T
 from factloom.llm.runtime import ensure_importable
@@ -137,9 +137,9 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts_per_lang: int = 600, windows_per_text: int = 6) -> ByteConvNet | None:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts_per_lang: int = 600, windows_per_text: int = 6, max_langs: int = 100) -> ByteConvNet | None:
     """Train on a bounded sample: the ``texts_per_lang`` texts of each language with the least hash of the id, and up to
-    ``windows_per_text`` evenly spaced windows of each. Held-out rows and null languages are left out. None without labels.
+    ``windows_per_text`` evenly spaced windows of each; ``max_langs`` languages at most. Held-out rows and null languages are left out. None without labels.
     """
     ensure_importable(docs.sparkSession)
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
@@ -155,16 +155,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     order.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(langs, pa.string()), pa.array(order, pa.int64())], ["w", "lang", "key"])
 
-    # Ids first, as rows without texts; the texts of the chosen ids are read afterwards.
+    # Ids first, as rows without texts; Spark keeps the first rows of each language before it shuffles. The texts of the
+    # chosen ids are read afterwards.
     ids = rows.select(F.col(id_col).alias("_id"), F.xxhash64(F.lit(3), id_col).alias("key"), F.col(lang_col).alias("lang"))
-    langs = sorted(r[0] for r in ids.select("lang").distinct().collect())
-    picked = None
-    for lang in langs:
-        top = ids.where(F.col("lang") == lang).orderBy("key", "_id").limit(texts_per_lang)
-        picked = top if picked is None else picked.union(top)
-    if picked is None:
+    first = ids.withColumn("_r", F.row_number().over(W.partitionBy("lang").orderBy("key", "_id"))).where(F.col("_r") <= texts_per_lang)
+    most = texts_per_lang * max_langs
+    picked = first.select("_id", "lang").limit(most + 1).collect()
+    if len(picked) > most:
+        raise ValueError(f"over {max_langs} languages; raise max_langs")
+    if not picked:
         return None
-    chosen = F.broadcast(picked.select("_id", "lang").distinct())  # texts_per_lang rows for each language at most
+    langs = sorted({r.lang for r in picked})
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(picked, first.select("_id", "lang").schema).distinct())
     source = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), F.col(id_col).alias("_id")).where("octet_length(t) > 0")
     sample = source.join(chosen, ["_id", "lang"]).select("t", "lang", F.xxhash64("_id").alias("key")).mapInArrow(some, "w binary, lang string, key long")
     got = sorted(map(tuple, sample.distinct().collect()), key=lambda r: (r[1], r[2], bytes(r[0])))
