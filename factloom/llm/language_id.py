@@ -155,14 +155,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     order.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(langs, pa.string()), pa.array(order, pa.int64())], ["w", "lang", "key"])
 
-    # Ids first, as rows without texts; Spark keeps the first rows of each language before it shuffles. The texts of the
-    # chosen ids are read afterwards.
+    # Ids first, as rows without texts. By a language's count, only keys that may be among its first are ranked, so the
+    # ranking sees a few rows for each text of the sample at any size. The texts of the chosen ids are read afterwards.
     ids = rows.select(F.col(id_col).alias("_id"), F.xxhash64(F.lit(3), id_col).alias("key"), F.col(lang_col).alias("lang"))
-    first = ids.withColumn("_r", F.row_number().over(W.partitionBy("lang").orderBy("key", "_id"))).where(F.col("_r") <= texts_per_lang)
-    most = texts_per_lang * max_langs
-    picked = first.select("_id", "lang").limit(most + 1).collect()
-    if len(picked) > most:
+    counts = ids.groupBy("lang").count().limit(max_langs + 1).collect()
+    may = F.lit(False)
+    for lang, n in counts:
+        share = min(1.0, (2 * texts_per_lang + 200) / n)
+        may = may | ((F.col("lang") == lang) & (F.col("key") <= min(int(-(2**63) + share * 2**64), 2**63 - 1)))
+    first = ids.where(may).withColumn("_r", F.row_number().over(W.partitionBy("lang").orderBy("key", "_id"))).where(F.col("_r") <= texts_per_lang)
+    if len(counts) > max_langs:
         raise ValueError(f"over {max_langs} languages; raise max_langs")
+    picked = first.select("_id", "lang").limit(texts_per_lang * max_langs).collect()
     if not picked:
         return None
     langs = sorted({r.lang for r in picked})
