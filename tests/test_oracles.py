@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from factloom.plans import registry
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -49,5 +50,10 @@ def test_query_equals_oracle(spark, duck, name):
         assert a == b
 
 
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
+def test_query_without_oracle_runs(spark, name):
+    assert registry.QUERIES[name](spark, SF).count() > 0
+
+
 def test_entry(spark):
     assert E.entry(spark).count() > 0
