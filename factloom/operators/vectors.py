@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from factloom.operators.selection import first_by, top_by
+from factloom.sources.checkpoints import bounded
 
 
 def doubles(v: str) -> Column:
@@ -96,9 +97,9 @@ def group_sums(df: DataFrame, group: str, vector: str) -> DataFrame:
 
 
 def nearest_centroids(df: DataFrame, item_id: str, vector: str, centroids: DataFrame, label: str, k: int) -> DataFrame:
-    """The k labels of the largest cosine for each row. ``centroids`` is a table of labels, the same size whatever the data."""
+    """The k labels of the largest cosine for each row. ``centroids`` (label, centroid) is broadcast if it is counted to be small."""
     i = df.select(F.col(item_id).alias("item"), doubles(vector).alias("v"))
-    s = i.crossJoin(F.broadcast(centroids)).select("item", label, F.round(cosine(F.col("v"), F.col("centroid")), 6).alias("score"))
+    s = i.crossJoin(bounded(centroids)).select("item", label, F.round(cosine(F.col("v"), F.col("centroid")), 6).alias("score"))
     return top_by(s, ["item"], [F.col("score").desc(), label], k)
 
 

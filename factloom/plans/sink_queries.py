@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from factloom.operators import graph
 from factloom.plans.graph_queries import triples
 from factloom.plans.registry import query
-from factloom.sources import sinks
+from factloom.sources import sinks, sites
 from factloom.sources.tables import table
 from factloom.streaming import minibatch
 
@@ -71,3 +71,11 @@ def stream_minibatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly counts of a stream with a watermark, run until the input is used up."""
     return minibatch.window_counts(spark, f"{sf_dir}/events.parquet", "ts", "1 hour", ["event_type"])
+
+
+@query("SELECT page_id, regexp_extract(url, '([^/?#.]+[.][^/?#.]+)(?:[/?#]|$)', 1) AS host, regexp_extract(html, '<h1>([^<&]*)</h1>', 1) AS title FROM pages WHERE regexp_matches(html, '<h1>[^<&]*[^<& ]</h1>') AND regexp_matches(url, '^[a-z]+://[^/?#]*example[.](com|org)([/?#]|$)') AND NOT regexp_matches(html, '<h1> |  [^>]*</h1>')")
+def site_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of known sites by their rules; others are skipped."""
+    known = {"example.com": sites.Site(), "example.org": sites.Site(body="article", skip=("nav", "footer", "div.ad"))}
+    p = table(spark, sf_dir, "pages").where("html rlike '<h1>[^<&]*[^<& ]</h1>' AND NOT html rlike '<h1> |  [^>]*</h1>'")
+    return sites.extract(p, known).select("page_id", "host", "title")

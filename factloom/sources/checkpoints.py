@@ -13,3 +13,11 @@ def cut(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factloom-"))
     return df.checkpoint()
+
+
+def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """A table to be joined with another: a broadcast if it has been counted and is small, else as it is."""
+    from pyspark.sql import functions as F
+
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
