@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 CDR = "document_id STRING, source_uri STRING, extracted_text STRING, content_type STRING, extracted_metadata STRUCT<Author:STRING, CreationDate:STRING, Pages:INT>"
-METADATA = "serif_doc_id STRING, cdr_path STRING, creation_date STRING, confidence DOUBLE, doc_type STRING, sgm_path STRING, cdr_uuid STRING, offset INT, author STRING, source_uri STRING"
+METADATA = "doc_id STRING, cdr_path STRING, creation_date STRING, confidence DOUBLE, doc_type STRING, sgm_path STRING, cdr_uuid STRING, offset INT, author STRING, source_uri STRING"
 CAUSAL = (
-    "docid STRING, relation_type STRING, semantic_class STRING, connective_text STRING, prob DOUBLE, learnit_pattern STRING, "
+    "docid STRING, relation_type STRING, semantic_class STRING, connective_text STRING, prob DOUBLE, "
     "arg1_text ARRAY<STRING>, arg1_span_list ARRAY<ARRAY<INT>>, arg2_text ARRAY<STRING>, arg2_span_list ARRAY<ARRAY<INT>>"
 )
 PAPER = "paper_id STRING, metadata STRUCT<title:STRING>, abstract ARRAY<STRUCT<text:STRING>>, body_text ARRAY<STRUCT<text:STRING>>"
@@ -52,7 +52,7 @@ def read_causal(spark: SparkSession, path: str) -> DataFrame:
     side = lambda k, part: F.when(flip, F.col(f"arg{3 - k}_{part}")).otherwise(F.col(f"arg{k}_{part}"))[0]
     out = df.withColumn("doc_id", F.regexp_replace("docid", r"\.(xml|sgm|txt|json)$", ""))
     spans = [c for k in (1, 2) for c in (side(k, "text").alias(f"arg{k}_text"), side(k, "span_list")[0].alias(f"arg{k}_start"), side(k, "span_list")[1].alias(f"arg{k}_end"))]
-    return out.select("doc_id", "relation_type", "semantic_class", "connective_text", "prob", "learnit_pattern", *spans)
+    return out.select("doc_id", "relation_type", "semantic_class", "connective_text", "prob", *spans)
 
 
 def attach_events(relations: DataFrame, events: DataFrame, models: list[str]) -> DataFrame:

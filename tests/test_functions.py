@@ -114,7 +114,7 @@ def test_readers(spark, tmp_path):
     got = {r.doc_id: (r.author, r.creation_date, r.pages) for r in D.read_cdr(spark, str(tmp_path / "cdr.json")).collect()}
     assert got == {"d1": ("A B", "20190501", 2), "d2": ("UNKNOWN", "UNKNOWN", None)}
     (tmp_path / "m.tsv").write_text("d1\tp\t20190501\t0.5\tnews\ts\tu\t0\ta\thttp://x\nd2\tp\tUNKNOWN\t0.5\tnews\ts\tu\t0\ta\thttp://x\n")
-    assert [str(r.creation_date) for r in D.read_metadata(spark, str(tmp_path / "m.tsv")).orderBy("serif_doc_id").collect()] == ["2019-05-01", "None"]
+    assert [str(r.creation_date) for r in D.read_metadata(spark, str(tmp_path / "m.tsv")).orderBy("doc_id").collect()] == ["2019-05-01", "None"]
     rel = {"docid": "d1.xml", "relation_type": "Cause-Effect", "connective_text": "Because", "prob": 0.5, "arg1_text": ["a"], "arg1_span_list": [[0, 1]], "arg2_text": ["b"], "arg2_span_list": [[5, 6]]}
     (tmp_path / "c.json").write_text(json.dumps([rel, rel | {"connective_text": "then"}]))
     rows = D.read_causal(spark, str(tmp_path / "c.json")).collect()
