@@ -141,3 +141,24 @@ def ancestors(nodes: DataFrame, node: str, parent: str, label: str, depth: int)
         frontier = step.select(node, F.col("_p").alias("_at"))
     ordered = F.array_sort(F.collect_list(F.struct("_d", "_l")))
     return out.groupBy(node).agg(F.transform(ordered, lambda s: s["_l"]).alias("labels"))
+
+
+def convert(df: DataFrame, kind: str, role: str, types: DataFrame, roles: DataFrame) -> DataFrame:
+    """Types and roles of a source in terms of the ontology, with the model whose table knows the type.
+
+    types: model, source, target; roles: model, source, target. A type that two models know goes to the smaller model name;
+    rows whose type no table knows go, and a role that the model's table lacks is null.
+    """
+    one = types.groupBy(F.col("source").alias(kind)).agg(F.min(F.struct("model", "target")).alias("_t"))
+    named = df.join(one, kind).withColumn("model", F.col("_t.model")).withColumn(kind, F.col("_t.target")).drop("_t")
+    table = roles.groupBy("model", F.col("source").alias(role)).agg(F.min("target").alias("_r"))
+    return named.join(table, ["model", role], "left").withColumn(role, F.col("_r")).drop("_r")
+
+
+def dump(mentions: DataFrame, columns: list[str], order: list[str | Column], sep: str = "\t") -> DataFrame:
+    """One line of text for each mention: its columns with nulls as empty fields, in a total order by number."""
+    from factloom.operators.selection import numbered
+
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    named = mentions.select(*[c if isinstance(c, Column) else F.col(c) for c in order], line.alias("line"))
+    return numbered(named, named.columns[:-1], "n").select("n", "line")

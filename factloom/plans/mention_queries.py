@@ -282,3 +282,37 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that are frequent and have three letters at least."""
     t = table(spark, sf_dir, "documents").select(F.explode(X.tokens(F.col("text"))).alias("word")).where(F.regexp_count("word", F.lit("[a-z]")) >= 3)
     return t.groupBy("word").agg(F.count("*").alias("n")).where("n >= 20")
+
+
+@query("""
+    SELECT event_id, CASE event_type WHEN 'purchase' THEN 'Transaction' WHEN 'click' THEN 'Contact' ELSE 'Failure' END AS kind, CASE WHEN event_type = 'error' THEN 'nn' ELSE 'kbp' END AS model,
+      CASE WHEN event_type <> 'error' AND value > 50 THEN 'has_actor' WHEN event_type = 'error' AND value <= 50 THEN 'has_theme' END AS role FROM events WHERE event_type IN ('purchase', 'click', 'error')
+""")
+def type_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and roles of two models in terms of one ontology; unknown types go."""
+    types = spark.createDataFrame([("kbp", "purchase", "Transaction"), ("kbp", "click", "Contact"), ("nn", "click", "Other"), ("nn", "error", "Failure")], "model string, source string, target string")
+    roles = spark.createDataFrame([("kbp", "big", "has_actor"), ("nn", "small", "has_theme")], "model string, source string, target string")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"), F.when(F.col("value") > 50, "big").otherwise("small").alias("role"))
+    return M.convert(e, "kind", "role", types, roles).select("event_id", "kind", "model", "role")
+
+
+@query("SELECT row_number() OVER (ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey) - 1 AS n, concat(o_orderkey, chr(9), o_orderstatus, chr(9), CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE o_orderpriority END) AS line FROM orders")
+def mention_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tab-separated lines in the order of relation and falling score."""
+    o = table(spark, sf_dir, "orders").withColumn("p", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority")))
+    o = o.withColumn("minus", -F.col("o_totalprice"))
+    return M.dump(o, ["o_orderkey", "o_orderstatus", "p"], ["o_orderstatus", "minus", "o_orderkey"])
+
+
+@query("SELECT code, count(*) AS n, count(DISTINCT user_id) AS n_actors FROM (SELECT user_id, substr(event_type, 1, 1) AS code FROM events) GROUP BY 1")
+def event_code_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of top-level codes."""
+    e = table(spark, sf_dir, "events").select("user_id", F.substring("event_type", 1, 1).alias("code"))
+    return e.groupBy("code").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("n_actors"))
+
+
+@query("SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY (event_id * 2654435761) % 1000003, event_id) AS r FROM events) WHERE r <= 100")
+def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of a stated size: the rows that come first in the order of an arithmetic hash."""
+    e = table(spark, sf_dir, "events").select("event_id")
+    return e.orderBy((F.col("event_id") * 2654435761) % 1000003, "event_id").limit(100)
