@@ -33,3 +33,50 @@ def write_tsv(df: DataFrame, path: str) -> None:
 def write_by(df: DataFrame, path: str, *columns: str) -> None:
     """JSON files in a folder for each value of the columns."""
     df.repartition(*columns).write.mode("overwrite").partitionBy(*columns).json(path)
+
+
+#: Relation types that become one direct triple for each pair of instances.
+DIRECT = {"before": "precedes", "contains": "contains", "part_of": "part_of"}
+
+
+def event_triples(events: DataFrame, event: str, kind: str, arguments: str, extra: dict[str, str]) -> DataFrame:
+    """(s, p, o) of events: type, one triple for each argument (array of role and filler), further columns as properties."""
+    s = F.concat(F.lit("event/"), F.col(event).cast("string")).alias("s")
+    fixed = F.array(F.struct(F.lit("type").alias("p"), F.col(kind).cast("string").alias("o")), *[F.struct(F.lit(p).alias("p"), F.col(c).cast("string").alias("o")) for p, c in extra.items()])
+    roles = F.transform(F.coalesce(arguments, F.array()), lambda a: F.struct(a["role"].alias("p"), a["filler"].cast("string").alias("o")))
+    return events.select(s, F.inline(F.concat(fixed, roles))).where("o IS NOT NULL")
+
+
+def causal_assertions(relations: DataFrame, instances: DataFrame, relation: str, kind: str, ends: tuple[str, str], event: str, instance: str, strength: str, direct: dict[str, str] = DIRECT) -> DataFrame:
+    """(s, p, o): direct triples for types in ``direct``, else an assertion node for each relation with its ends and properties."""
+    mapped = F.create_map(*[F.lit(x) for kv in direct.items() for x in kv])[F.col(kind)]
+    r = relations.withColumn("_p", mapped)
+    left = instances.select(F.col(event).alias(ends[0]), F.col(instance).cast("string").alias("s"))
+    right = instances.select(F.col(event).alias(ends[1]), F.col(instance).cast("string").alias("o"))
+    plain = r.where("_p IS NOT NULL").join(left, ends[0]).join(right, ends[1]).select("s", F.col("_p").alias("p"), "o")
+    po = [("type", F.col(kind)), ("left", F.col(ends[0]).cast("string")), ("right", F.col(ends[1]).cast("string")), ("confidence", F.lit("0.00")), ("strength", F.col(strength).cast("string"))]
+    node = F.concat(F.lit("assertion/"), F.col(relation).cast("string")).alias("s")
+    made = r.where("_p IS NULL").select(node, F.inline(F.array(*[F.struct(F.lit(p).alias("p"), o.alias("o")) for p, o in po]))).where("o IS NOT NULL")
+    return plain.unionByName(made)
+
+
+def frames_json(documents: DataFrame, frames: DataFrame, doc: str, frame: str) -> DataFrame:
+    """(doc, frames): the frames of each document as a JSON list, [] for documents without."""
+    each = frames.groupBy(doc).agg(F.to_json(F.sort_array(F.collect_list(frame))).alias("frames"))
+    return documents.select(doc).join(each, doc, "left").withColumn("frames", F.coalesce("frames", F.lit("[]")))
+
+
+def upload(df: DataFrame, send, batch: int = 100) -> None:
+    """Rows sent to a service in batches from the executors; ``send`` gets a list of dicts and must be idempotent, as tasks may run again."""
+
+    def run(rows):
+        part = []
+        for row in rows:
+            part.append(row.asDict(recursive=True))
+            if len(part) == batch:
+                send(part)
+                part = []
+        if part:
+            send(part)
+
+    df.foreachPartition(run)
