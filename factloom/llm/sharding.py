@@ -1,6 +1,6 @@
 """Two-pass external shuffle into shards.
 
-Pass one scatters whole records into buckets by a seeded hash of their id; a bucket is sized to fit in a task's memory. Pass
+Pass one scatters whole records into buckets by a seeded hash of all their columns; a bucket is sized to fit in a task's memory. Pass
 two shuffles each bucket by Fisher-Yates with a seed of its own. The buckets in order are one uniformly shuffled sequence,
 which is cut into shards whose row counts differ by one at most (the law ``rows``). Nothing depends on how Spark happened to
 partition the input, so a task that is run again writes the same rows.
@@ -38,19 +38,26 @@ def fisher_yates(n: int, seed: int) -> np.ndarray:
 def external_shuffle(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs in shuffled order, with the columns shard int and slot long (gapless from 0 in each shard).
 
-    Null texts have no bytes. Repeated rows are records of their own; rows of one id lie in one bucket. Columns named shard
-    or slot are replaced.
+    Null texts have no bytes. Rows of one id that differ in any column are scattered apart, so a hot id fills no bucket.
+    Repeated rows are records of their own; copies equal in every column share a bucket. Maps are left out of the hash.
+    Columns named shard or slot are replaced.
     """
     ensure_importable(docs.sparkSession)
     docs = docs.drop("shard", "slot")
+    own = "_s"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    row_, bucket_, before_ = (own + x for x in ("row", "bucket", "before"))
     weight = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + RECORD_BYTES
     rows, total = docs.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
     buckets = max(1, math.ceil(total / bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(buckets))
-    counts = docs.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    row = F.xxhash64(F.lit(seed), *hashed)
+    bucket = F.pmod(row, F.lit(buckets))
+    counts = docs.select(bucket.alias(bucket_)).groupBy(bucket_).agg(F.count("*").alias("_n"))
     # One row for each bucket; running totals over them in one task are small beside the data (one row for bucket_bytes).
-    before = counts.selectExpr("_bucket", "sum(_n) over (order by _bucket) - _n as _before")
-    scattered = docs.withColumn("_bucket", bucket).join(before, "_bucket")
+    before = counts.selectExpr(bucket_, f"sum(_n) over (order by {bucket_}) - _n as {before_}")
+    scattered = docs.withColumn(row_, row).withColumn(bucket_, F.pmod(row_, F.lit(buckets))).join(before, bucket_)
     names = docs.columns
     schema = S.StructType([*docs.schema.fields, S.StructField("shard", S.IntegerType()), S.StructField("slot", S.LongType())])
 
@@ -59,16 +66,16 @@ def external_shuffle(docs: DataFrame, shards: int, id_col: str = "doc_id", text_
         # The rows arrive in any order, so they are put in one that depends on the rows alone.
         ids = group.column(id_col).cast(pa.int64())
         texts = group.column(text_col)
-        keys = pa.table({"i": ids, "t": texts})
-        order = pc.sort_indices(keys, sort_keys=[("i", "ascending"), ("t", "ascending")]).to_numpy()
-        order = order[fisher_yates(n, seed * 1_000_003 + int(group.column("_bucket")[0].as_py()))]
-        place = int(group.column("_before")[0].as_py()) + np.arange(n, dtype=np.int64)
+        keys = pa.table({"i": ids, "t": texts, "r": group.column(row_)})
+        order = pc.sort_indices(keys, sort_keys=[("i", "ascending"), ("t", "ascending"), ("r", "ascending")]).to_numpy()
+        order = order[fisher_yates(n, seed * 1_000_003 + int(group.column(bucket_)[0].as_py()))]
+        place = int(group.column(before_)[0].as_py()) + np.arange(n, dtype=np.int64)
         shard = place * shards // rows
         first = -(-shard * rows // shards)
         out = group.select(names).take(pa.array(order))
         return out.append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - first))
 
-    return scattered.groupBy("_bucket").applyInArrow(shuffled, schema)
+    return scattered.groupBy(bucket_).applyInArrow(shuffled, schema)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, **options) -> None:

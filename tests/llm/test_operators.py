@@ -215,6 +215,18 @@ def test_shuffle_odd_rows(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(ODD)
 
 
+def test_shuffle_scatters_a_hot_id(spark):
+    frame = spark.createDataFrame([(7, f"text {i % 40}", i // 2) for i in range(400)], "doc_id long, text string, _sbucket int")
+    out = sharding.external_shuffle(frame, 4, bucket_bytes=600)
+    assert Counter((r.doc_id, r.text, r._sbucket) for r in out.collect()) == Counter(tuple(r) for r in frame.collect())
+    again = sharding.external_shuffle(frame.repartition(5), 4, bucket_bytes=600)
+    assert sorted((r.text, r._sbucket, r.shard, r.slot) for r in out.collect()) == sorted((r.text, r._sbucket, r.shard, r.slot) for r in again.collect())
+    groups = {}
+    for r in out.collect():
+        groups.setdefault(r.shard, set()).add(r._sbucket)
+    assert all(len(g) > 40 for g in groups.values())
+
+
 # -- 5 -------------------------------------------------------------------------------------------------------------------
 
 
