@@ -80,3 +80,18 @@ def upload(df: DataFrame, send, batch: int = 100) -> None:
             send(part)
 
     df.foreachPartition(run)
+
+
+def write_dump(tables: dict[str, DataFrame], path: str, form: str = "json") -> None:
+    """Each table of a knowledge base in a folder of its name, as JSON lines or Parquet."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").format(form).save(f"{path}/{name}")
+
+
+def training_json(tokens: DataFrame, mentions: DataFrame, sentence: list[str], position: str, word: str, mention: str) -> DataFrame:
+    """(sentence, example): tokens in order and the mentions on them as one JSON object; sentences without mentions have an empty list."""
+    t = tokens.groupBy(*sentence).agg(F.transform(F.array_sort(F.collect_list(F.struct(position, word))), lambda x: x[word]).alias("tokens"))
+    m = mentions.groupBy(*sentence).agg(F.sort_array(F.collect_list(mention)).alias("mentions"))
+    empty = F.array().cast(m.schema["mentions"].dataType)
+    body = F.struct("tokens", F.coalesce("mentions", empty).alias("mentions"))
+    return t.join(m, sentence, "left").select(*sentence, F.to_json(body).alias("example"))

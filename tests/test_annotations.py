@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.operators import coreference as C, regression, structured, syntax as S
+from factloom.operators import annotators, coreference as C, regression, structured, syntax as S
 from factloom.sources import annotations as A, sinks
 from factloom.streaming.jobs import Jobs
 
@@ -100,3 +100,26 @@ def test_regression_against_least_squares(spark):
     got = [r.prediction for r in regression.predict(regression.fit(df, ["a", "b"], "y"), df.where("y IS NOT NULL")).orderBy("a").collect()]
     coef, *_ = np.linalg.lstsq(np.c_[x, np.ones(60)], y, rcond=None)
     assert np.allclose(got, (np.c_[x, np.ones(60)] @ coef)[np.argsort(x[:, 0])])
+
+
+def test_phrases(spark):
+    rows = [(1, "Cash for Work and cash for work".split()), (2, []), (3, None), (4, ["cash"])]
+    df = spark.createDataFrame(rows, "d INT, w ARRAY<STRING>")
+    got = annotators.phrase_mentions(df, "w", [("Aid", "cash for <work>"), ("Money", "cash")]).collect()
+    assert sorted((r.d, r.event_type, r.phrase_start, r.phrase_end, r.anchor) for r in got) == [(1, "Aid", 0, 2, 2), (1, "Aid", 4, 6, 6), (1, "Money", 0, 0, 0), (1, "Money", 4, 4, 4), (4, "Money", 0, 0, 0)]
+
+
+def test_model_and_program(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None)], "doc_id INT, text STRING")
+
+    def build():
+        return lambda batch: batch.assign(n=batch["text"].fillna("").str.len())[["doc_id", "n"]]
+
+    assert sorted(tuple(r) for r in annotators.annotate(df, build, "doc_id INT, n LONG").collect()) == [(1, 2), (2, 0)]
+    assert sorted(tuple(r) for r in annotators.pipe(df, ["tr", "a", "x"]).collect()) == [(1, 0, "xb"), (2, 0, "")]
+
+
+def test_dump(spark, tmp_path):
+    sinks.write_dump({"a": spark.range(3)}, str(tmp_path))
+    sinks.write_dump({"a": spark.range(2)}, str(tmp_path / "p"), "parquet")
+    assert spark.read.json(str(tmp_path / "a")).count() == 3 and spark.read.parquet(str(tmp_path / "p" / "a")).count() == 2
