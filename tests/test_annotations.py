@@ -12,11 +12,11 @@ from factloom.operators import annotators, coreference as C, regression, structu
 from factloom.sources import annotations as A, sinks
 from factloom.streaming.jobs import Jobs
 
-XML = """<SerifXML version="18"><Document docid="d1" language="English"><OriginalText><Contents>Rain fell. It stopped.</Contents></OriginalText>
+XML = """<Annotations version="1"><Document docid="d1" language="English"><OriginalText><Contents>Rain fell. It stopped.</Contents></OriginalText>
 <Sentences><Sentence id="s0" char_offsets="0:9"><Contents>Rain fell.</Contents>
 <MentionSet><Mention id="m0" mention_type="desc" entity_type="OTH" syn_node_id="n0"/></MentionSet>
 <EventMentionSet><EventMention id="e0" event_type="Weather" anchor_node_id="n1" score="0.5"><EventMentionArg role="has_theme" mention_id="m0" score="0.9"/></EventMention></EventMentionSet></Sentence>
-<Sentence id="s1" char_offsets="11:21"><Contents>It stopped.</Contents></Sentence></Sentences></Document></SerifXML>"""
+<Sentence id="s1" char_offsets="11:21"><Contents>It stopped.</Contents></Sentence></Sentences></Document></Annotations>"""
 
 
 def test_annotated_xml(spark, tmp_path):
