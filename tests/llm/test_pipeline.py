@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as C
-from factloom.llm import html_extract, language_id, license_scan, packing
-from tests.llm.test_operators import ODD, SF, brute_classes, brute_print, check_pieces, docs
+from factloom.llm import html_extract, language_id, license_scan, near_copies, packing
+from tests.llm.test_operators import ODD, SF, brute_classes, brute_print, check_pieces, docs, lower, words
 
 PRIVATE = re.compile(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b4\d{15}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b|AKIA[0-9A-Z]{16}|(?<=password=)\w+")
 
@@ -45,6 +45,43 @@ def test_one_of_each_component(stages):
     assert {r.doc_id for r in after} == set(classes.values()) and len(after) == len(set(classes.values()))
 
 
+def five_words(text):
+    w = words(lower(text))
+    return frozenset(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))) if w else frozenset()
+
+
+def similar_classes(texts):
+    """The smallest id of each component of pairs with a similarity of 0.8 or more, by comparing all pairs."""
+    sets, root = {k: five_words(t) for k, t in texts.items()}, {k: k for k in texts}
+    for a in sorted(sets):
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            if a < b and common >= 0.8 * (len(sets[a]) + len(sets[b]) - common) and root[a] != root[b]:
+                lo, hi = sorted((root[a], root[b]))
+                root = {k: lo if r == hi else r for k, r in root.items()}
+    return root
+
+
+def test_edited_copies_go(stages):
+    before, after, *_ = stages["near_duplicates"]
+    classes = similar_classes({r.doc_id: r.text for r in before})
+    assert {r.doc_id for r in after} == set(classes.values()) and len(after) == len(set(classes.values()))
+
+
+def test_near_copies_of_edited_texts(spark):
+    """Copies with one to six words changed, chains of copies, and a large group; some lie just below the similarity."""
+    rng = np.random.default_rng(3)
+    base = [[f"w{x}" for x in rng.integers(0, 5000, rng.integers(3, 150))] for _ in range(40)]
+    texts = [" ".join(b) for b in base]
+    for _ in range(300):
+        w = texts[rng.integers(0, len(texts))].split()
+        for k in rng.integers(0, len(w), rng.integers(0, 7)):
+            w[k] = f"W{rng.integers(0, 5000)}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs(spark, texts)).collect()}
+    assert got == similar_classes(dict(enumerate(texts)))
+
+
 def test_no_benchmark_item_is_left(spark, stages):
     before, after, *_ = stages["benchmark"]
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
