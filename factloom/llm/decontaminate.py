@@ -1,7 +1,7 @@
 """Benchmark decontamination by canonical templates, with DataFrame operations only.
 
 Words of a text become a template: numbers, given names, and units after a number are replaced by typed placeholders. Windows
-of template words are hashed. Pass one hash-joins the documents' windows with the items' windows and keeps the documents
+of template words are hashed, at every place of items and documents. Pass one hash-joins the documents' windows with the items' windows and keeps the documents
 that share one. Pass two looks at every window of those documents, lines the matches up with the item, and checks the slots:
 along one alignment each value of the item must stand for one value of the document, as it does when a question was
 re-parameterised and as it does when it was copied.
@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from factloom.llm.names import GIVEN, UNITS
 from factloom.llm.runtime import cut
 
-#: Words of a window. Documents are searched at every second place in pass one: the items have windows at all places.
-WINDOW = 8
-STRIDE = 2
+#: Words of a window. Items below WINDOW words have windows of SHORT words; an item
+#: below SHORT words is found only where it is a whole text, as so few words stand in any prose.
+WINDOW, SHORT = 8, 5
 NUMBER, NAME, UNIT = "#n", "#a", "#u"
 _BREAK = r"[^\p{L}\p{N}.,]+|[.,](?![0-9])|(?<![0-9])[.,]"
 _NAMES = sorted({n.lower() for names in GIVEN.values() for n in names})
@@ -38,10 +38,17 @@ def _template(words: str) -> Column:
     )
 
 
-def _windows(template: str, stride: int, window: int) -> Column:
-    """Hashes of the windows at every ``stride``-th place; none for fewer than ``window`` words."""
-    n = F.size(template) - window
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n, F.lit(stride)), lambda i: F.xxhash64(F.slice(F.col(template), i + 1, window)))).otherwise(F.array().cast("array<bigint>"))
+def _windows(template: str, size: int) -> Column:
+    """(pos, size, h): windows of ``size`` words at every place; none for fewer words."""
+    n = F.size(template) - size
+    at = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(i.alias("pos"), F.lit(size).alias("size"), F.xxhash64(F.slice(F.col(template), i + 1, size)).alias("h")))
+    return F.when(n >= 0, at).otherwise(F.array().cast("array<struct<pos: int, size: int, h: bigint>>"))
+
+
+def _whole(template: str) -> Column:
+    """The one window of a text below the shortest window; its hash differs from that of any other window."""
+    n = F.size(template)
+    return F.array(F.struct(F.lit(0).alias("pos"), n.alias("size"), F.xxhash64(F.col(template), F.lit("whole")).alias("h")))
 
 
 def contaminated(
@@ -51,28 +58,33 @@ def contaminated(
     """(id_col, item_col, n_windows, item_windows, coverage, n_slots): documents and the items they hold.
 
     n_windows: windows of the item that the document has in alignments with consistent slots. A pair is returned if they are
-    at least ``min_coverage`` of the item's windows, or ``min_run`` (that is, 13 template words of the item). Null and empty
-    texts, and texts and items below ``window`` words, match nothing. Repeated rows and a null id are told apart by id and
+    at least ``min_coverage`` of the item's windows, or ``min_run`` (that is, 13 template words of the item). Items below
+    ``window`` words have windows of SHORT words, and one below SHORT words matches texts that are nothing else. Null texts
+    and texts without words match nothing. Repeated rows and a null id are told apart by id and
     text: equal rows give one pair. Windows of which over half are placeholders are left out, as tables of numbers would
     match them.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
-    items = benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("iw")).where(F.size("iw") >= window).select("*", _template("iw").alias("it"))
-    entries = items.select("item", "iw", "it", F.posexplode(_windows("it", 1, window)).alias("ipos", "h"))
-    raw, shape = F.slice("iw", F.col("ipos") + 1, F.lit(window)), F.slice("it", F.col("ipos") + 1, F.lit(window))
-    entries = entries.select("item", "ipos", "h", raw.alias("iraw"), shape.alias("ishape"))
-    entries = cut(entries.where(F.size(F.filter("ishape", lambda t: t.startswith("#"))) * 2 <= window))
+    short = min(SHORT, window)
+    items = benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("iw")).where(F.size("iw") > 0).select("*", _template("iw").alias("it"))
+    of_item = F.when(F.size("iw") >= window, _windows("it", window)).when(F.size("iw") >= short, _windows("it", short)).otherwise(_whole("it"))
+    entries = items.select("item", "iw", "it", F.inline(of_item)).withColumnRenamed("pos", "ipos")
+    raw, shape = F.slice("iw", F.col("ipos") + 1, F.col("size")), F.slice("it", F.col("ipos") + 1, F.col("size"))
+    entries = entries.select("item", "ipos", "size", "h", raw.alias("iraw"), shape.alias("ishape"))
+    entries = cut(entries.where(F.size(F.filter("ishape", lambda t: t.startswith("#"))) * 2 <= F.col("size")))
     totals = entries.groupBy("item").agg(F.countDistinct("ipos").alias("item_windows"))
 
-    words = docs.select(key.alias("k"), _words(F.col(text_col)).alias("w")).where(F.size("w") >= window)
-    # Windows of half the places: a run of window + STRIDE - 1 words or more has one of them.
-    hashed = words.select("k", _template("w").alias("t")).select("k", F.explode(_windows("t", STRIDE, window)).alias("h"))
+    sizes = {r["size"] for r in entries.select("size").distinct().collect()}
+    in_text = F.concat(*[_windows("t", n) for n in sorted({window, short} & sizes)]) if {window, short} & sizes else F.array().cast("array<struct<pos: int, size: int, h: bigint>>")
+    in_text = F.when(F.size("t") < short, _whole("t")).otherwise(in_text)
+    words = docs.select(key.alias("k"), _words(F.col(text_col)).alias("w")).where(F.size("w") >= (1 if min(sizes, default=short) < short else min(sizes, default=1)))
+    hashed = words.select("k", _template("w").alias("t")).select("k", F.explode(F.transform(in_text, lambda x: x["h"])).alias("h"))
     found = cut(hashed.join(entries.select("h").distinct(), "h", "left_semi").select("k").distinct())
 
     near = docs.select(F.col(id_col).alias("id"), key.alias("k"), F.col(text_col).alias("x")).join(found, "k", "left_semi")
     near = near.dropDuplicates(["k"]).select("id", "k", _words(F.col("x")).alias("w")).select("*", _template("w").alias("t"))
-    at = near.select("id", "k", "w", F.posexplode(_windows("t", 1, window)).alias("pos", "h"))
-    at = at.select("id", "k", "pos", "h", F.slice("w", F.col("pos") + 1, F.lit(window)).alias("raw"))
+    at = near.select("id", "k", "w", F.inline(in_text))
+    at = at.select("id", "k", "pos", "h", F.slice("w", F.col("pos") + 1, F.col("size")).alias("raw"))
     hits = at.join(entries, "h").select("id", "k", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "raw", "iraw", "ishape")
     # Slots of a window: kind and both values. Windows of one alignment overlap, so the sets are joined.
     slots = F.filter(F.arrays_zip("ishape", "iraw", "raw"), lambda s: s["ishape"].startswith("#"))

@@ -142,6 +142,27 @@ def test_decontamination_brute_force_windows(spark):
                 assert (d, i) not in got
 
 
+def test_decontamination_at_every_place_and_short_items(spark):
+    items = ["where did all of the old green boats go", "where did all of the old green boats go then", "which river is the longest here", "name the moon", "longer " * 3 + "item of more than ten words that is here to be found"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [" ".join(["before"] * k + [x] + ["after"] * 3) for x in items for k in range(5)] + ["Name the moon!", "which lake is the longest there"]
+    got = defaultdict(set)
+    for r in decontaminate.contaminated(docs(spark, texts), bench).collect():
+        got[r.doc_id].add(r.item_id)
+    for k in range(25):
+        assert k // 5 == 3 and not got[k] or k // 5 in got[k], texts[k]
+    assert got[25] == {3} and not got[26]
+    rng = random.Random(4)
+    vocab = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
+    items = [" ".join(rng.choice(vocab) for _ in range(rng.randint(10, 20))) for _ in range(12)]
+    texts = [" ".join(["x"] * rng.randint(0, 5) + rng.choice(items).split()[: rng.randint(6, 16)]) for _ in range(60)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    # A low coverage, so that one window suffices and no run of windows is needed to be found.
+    got = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.contaminated(docs(spark, texts), bench, min_coverage=0.01).collect()}
+    grams = lambda t: {tuple(t.split()[k : k + 8]) for k in range(len(t.split()) - 7)}
+    assert got == {(d, i): n for d, t in enumerate(texts) for i, x in enumerate(items) if (n := len(grams(x) & grams(t)))}
+
+
 # -- 3 -------------------------------------------------------------------------------------------------------------------
 
 
