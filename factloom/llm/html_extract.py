@@ -1,9 +1,10 @@
 """Main text of web pages by block rules in two passes.
 
 A page is cut into blocks at block-level tags. Pass one decides a block from where it stands (menus, footers, adverts and
-the like by element, role and class names; the article by its element), its length, its stop-word density and its link
-density. Short blocks outside of an article element and single linked blocks inside stay open. Pass two gives an open block the label of the nearest decided blocks
-of its region.
+the like by element, role and class names), its length, its stop-word density and its link density. An article element is a
+sign for its blocks, whatever their length, unless it looks like a teaser: it stands beside text that is outside of any
+article and far longer, or it has no block that passes by itself. Short blocks elsewhere and single linked blocks in an
+article stay open. Pass two gives an open block the label of the nearest decided blocks of its region.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ AWAY_NAMES = set(
     "toolbar skip disclaimer copyright".split()
 )
 LONG_WORDS, SOME_WORDS, RICH, POOR, LINKED = 25, 8, 0.2, 0.05, 0.5
+#: An article with less than this share of the words of the text outside of articles is a teaser.
+TEASER = 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -138,16 +141,25 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def decide(blocks: list[Block]) -> None:
-    structured = any(b.region for b in blocks)
+    dense: list[int] = []  # whether a block passes by length and stop words: 2 if it is long, 1 if shorter, else 0
+    own: dict[int, int] = {}  # words of the regions, and those of their blocks that pass
+    passed: dict[int, int] = {}
     for b in blocks:
         words = _WORD.findall(b.text.lower())
         n = max(len(words), 1)
         density = sum(w in _STOP for w in words) / n
-        if b.away or structured and not b.region:
+        dense.append(2 if n >= LONG_WORDS and density >= POOR else n >= SOME_WORDS and density >= RICH)
+        if not b.away and b.links <= LINKED * len(b.text):
+            own[b.region] = own.get(b.region, 0) + n
+            passed[b.region] = passed.get(b.region, 0) + n * bool(dense[-1])
+    outside = passed.get(0, 0)
+    articles = {r for r, n in own.items() if r and (not outside or passed[r] and n >= TEASER * outside)}
+    for b, passes in zip(blocks, dense):
+        if b.away:
             b.label = False
         elif b.links > LINKED * len(b.text):
-            b.label = False if b.item or not b.region else None
-        elif b.region or n >= LONG_WORDS and density >= POOR or n >= SOME_WORDS and density >= RICH:
+            b.label = False if b.item or b.region not in articles else None
+        elif b.region in articles or passes > (b.region > 0):
             b.label = True
     # For each block the nearest decided one of its region on either side: (distance, label).
     near: list[list[tuple[int, bool]]] = [[] for _ in blocks]
@@ -163,11 +175,11 @@ def decide(blocks: list[Block]) -> None:
     for b, sides in zip(blocks, near):
         if b.label is None:
             # Two neighbours at the same distance: one that is text suffices. Alone in an article a block is its text.
-            b.label = not min(sides)[1] if sides else b.region > 0
+            b.label = not min(sides)[1] if sides else b.region in articles or b.region > 0 and not outside
 
 
 def main_text(page: str | None) -> str:
-    """The article's blocks joined by an empty line; a null or empty page, and one without text, gives an empty text."""
+    """The blocks of the main text joined by an empty line; a null or empty page, and one without text, gives an empty text."""
     if not page:
         return ""
     blocks = blocks_of(page)

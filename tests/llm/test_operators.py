@@ -340,6 +340,22 @@ def test_html_rules():
         assert isinstance(html_extract.main_text(odd), str)
 
 
+def test_html_article_is_one_sign():
+    """Pages without an article element, with one that is part of something else, with teasers, and with text beside it."""
+    long = "It was the best of times and it was the worst of times for all of the people in the town"
+    body = f"<div><p>{long} one<p>{long} two<p>{long} three<p>{long} four</div>"
+    parts = [f"{long} {n}" for n in ("one", "two", "three", "four")]
+    text = lambda page: html_extract.main_text(page).split("\n\n")
+    assert text(body) == parts
+    assert text(f"<aside><article>teaser</article></aside>{body}") == parts
+    assert text(f"<div class=sidebar><article><p>{long}</p></article></div>{body}") == parts
+    cards = "".join(f"<article><h3>Card {k}</h3><p>Read of the {k} ways to cook it</p></article>" for k in range(3))
+    assert text(f"{cards}{body}") == parts and text(f"{body}{cards}") == parts
+    assert text(f"<article><h1>Title</h1><p>{long} one</article><div><p>{long} two</p><p>Menu</p></div><p>{long} three") == ["Title", parts[0], parts[1], "Menu", parts[2]]
+    assert text(f"<article><h1>Title</h1><p>{long} one</article><p>short note") == ["Title", parts[0]]
+    assert text("<article><h1>Title</h1></article><p>short note") == ["Title"]
+
+
 # -- 7, 8 ----------------------------------------------------------------------------------------------------------------
 
 
