@@ -262,3 +262,60 @@ def test_pool(spark):
     m = spark.createDataFrame([("v1", "d1", 1), ("v1", "d1", 2), ("v2", "d1", 3)], "o string, d string, at int")
     done = spark.createDataFrame([("v2", "d1")], "o string, d string")
     assert [(r.o, r["at"]) for r in minibatch.pool(m, ["o", "d"], ["at"], done).collect()] == [("v1", 2)]
+
+
+def plain_best(s):
+    """Of all clusters of the average-group tree the one with the largest size times average similarity; s has a zero diagonal."""
+    member, best = np.eye(len(s)), ((0,), 0.0)
+    while len(member) > 1:
+        totals, sizes = member @ s @ member.T, member.sum(axis=1)
+        score = {}
+        for a in range(len(member)):
+            for b in range(a + 1, len(member)):
+                n = sizes[a] + sizes[b]
+                score[a, b] = (totals[a, a] + totals[b, b] + 2 * totals[a, b]) / (n * (n - 1))
+        (a, b), top = max(score.items(), key=lambda x: x[1])
+        if top <= 0:
+            break
+        both = member[a] + member[b]
+        if both.sum() * top > best[1]:
+            best = tuple(np.flatnonzero(both)), both.sum() * top
+        member = np.vstack([np.delete(member, [a, b], axis=0), both])
+    return best
+
+
+def plain_committees(s, k):
+    kept, left = [], list(range(len(s)))
+    for _ in range(10):
+        found = {}
+        for i in left:
+            near = sorted((j for j in left if j != i), key=lambda j: -s[i, j])[:k]
+            if near:
+                sub = s[np.ix_(near, near)].copy()
+                np.fill_diagonal(sub, 0)
+                members, cohesion = plain_best(sub)
+                found[tuple(sorted(near[x] for x in members))] = cohesion
+        floor = max(np.mean(list(found.values())) - np.std(list(found.values())), 0) if found else 0
+        new = []
+        for c in sorted(found, key=lambda c: (-round(found[c], 9), c)):
+            if found[c] >= floor and all(s[np.ix_(c, d)].mean() <= 0.35 for d in kept + new):
+                new.append(c)
+        kept += new
+        rest = [i for i in left if max((s[i, list(c)].mean() for c in kept), default=0) < 0.25]
+        if not new or not rest or rest == left:
+            return kept
+        left = rest
+    return kept
+
+
+def test_registered_committees_use_fifty_neighbours(spark, tmp_path):
+    from factloom.plans import registry, vector_queries  # noqa: F401
+
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.normal(c, 0.35, (30, 4)) for c in np.eye(4)[:2]])
+    rows = [(k, x.tolist(), 0) for k, x in enumerate(v)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.vec_id: r.committee for r in registry.QUERIES["committees"](spark, str(tmp_path)).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    owner = lambda k: dict(enumerate(clustering.assign(u @ u.T, plain_committees(u @ u.T, k)).tolist()))
+    assert got == owner(50) and got != owner(10)
