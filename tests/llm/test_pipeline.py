@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline as C
 from factloom.llm import html_extract, language_id, license_scan, near_copies, packing
-from tests.llm.test_operators import ODD, SF, brute_classes, brute_print, check_pieces, docs, lower, words
+from tests.llm.test_operators import ODD, SF, check_pieces, docs, lower, words
 
 PRIVATE = re.compile(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b4\d{15}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b|AKIA[0-9A-Z]{16}|(?<=password=)\w+")
 
@@ -39,12 +39,6 @@ def test_language_keeps_documents_with_letters(stages):
     assert not any(r.doc_id in kept for r in before if not re.search(r"[^\W\d_]", r.text or ""))
 
 
-def test_one_of_each_component(stages):
-    before, after, *_ = stages["near_duplicates"]
-    classes = brute_classes({r.doc_id: brute_print(r.text) for r in before})
-    assert {r.doc_id for r in after} == set(classes.values()) and len(after) == len(set(classes.values()))
-
-
 def five_words(text):
     w = words(lower(text))
     return frozenset(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))) if w else frozenset()
@@ -82,6 +76,32 @@ def test_near_copies_of_edited_texts(spark):
     assert got == similar_classes(dict(enumerate(texts)))
 
 
+def test_near_copies_of_hot_groups(spark):
+    """Chains of edits from one text, and a passage in texts of their own; ids repeat, some are null."""
+    rng = np.random.default_rng(5)
+    word = lambda: f"w{rng.integers(0, 9000)}"
+    chain = [[word() for _ in range(80)]]
+    for _ in range(150):
+        w = list(chain[rng.integers(0, len(chain))])
+        for k in rng.integers(0, len(w), rng.integers(1, 4)):
+            w[k] = word()
+        chain.append(w)
+    passage = [word() for _ in range(60)]
+    shared = [passage + [word() for _ in range(rng.integers(20, 60))] for _ in range(60)]
+    texts = [" ".join(w) for w in chain + shared]
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs(spark, texts)).collect()}
+    assert got == similar_classes(dict(enumerate(texts)))
+
+
+def test_rows_that_share_an_id(spark):
+    texts = ["one two three four five six", "one two three four five six", "another text of its own with words", "one two three four five six", None, ""]
+    frame = docs(spark, texts, ids=[1, 1, 1, 2, 3, None])
+    for shuffled in (frame, frame.repartition(3)):
+        kept = near_copies.drop_near_copies(shuffled)
+        assert kept.columns == frame.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, texts[0]), (1, texts[2]), (3, None), (None, "")], key=str)
+
+
 def test_no_benchmark_item_is_left(spark, stages):
     before, after, *_ = stages["benchmark"]
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
