@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline as C
 from factloom.llm import html_extract, language_id, license_scan, near_copies, packing
-from tests.llm.test_operators import ODD, SF, check_pieces, docs, lower, words
+from tests.llm.test_operators import ODD, SF, check_pieces, docs, lower, luhn, words
 
 PRIVATE = re.compile(r"[\w.]+@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b4\d{15}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b|AKIA[0-9A-Z]{16}|(?<=password=)\w+")
 
@@ -115,7 +115,7 @@ def test_no_private_value_is_left(stages):
     texts = {r.doc_id: r.text for r in after}
     assert set(texts) == {r.doc_id for r in before} and all(r.n_chars == len(r.text) for r in after)
     for r in before:
-        found = PRIVATE.findall(r.text or "")
+        found = [v for v in PRIVATE.findall(r.text or "") if not re.fullmatch(r"4\d{15}", v) or luhn(v)]
         assert not any(v in texts[r.doc_id] for v in found)
         assert found or texts[r.doc_id] == r.text
 
