@@ -40,3 +40,14 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             break
         was = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def first_members(tied: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(fp, first) for the fingerprints of ``tied`` (node, component): the least (node, fp) of the fingerprint's component.
+
+    nodes: fp, node; the node is the smallest id that has the fingerprint.
+    """
+    grouped = tied.select(F.col("node").alias("fp"), "component").union(tied.select(F.col("component").alias("fp"), "component").distinct())
+    grouped = grouped.join(nodes.select("fp", "node"), "fp")
+    least = grouped.groupBy("component").agg(F.min(F.struct("node", "fp")).alias("first"))
+    return grouped.join(least, "component").select("fp", "first")
