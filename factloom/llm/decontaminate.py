@@ -1,96 +1,133 @@
 """Benchmark decontamination by canonical templates, with DataFrame operations only.
 
-Words of a text become a template: numbers, given names, and units after a number are replaced by typed placeholders. Windows
-of template words are hashed, at every place of items and documents. Pass one hash-joins the documents' windows with the items' windows and keeps the documents
-that share one. Pass two looks at every window of those documents, lines the matches up with the item, and checks the slots:
-along one alignment each value of the item must stand for one value of the document, as it does when a question was
-re-parameterised and as it does when it was copied.
+Words of a text become a template: numbers and number words, names, and units after a number are replaced by typed
+placeholders. A name is a given name of a list or any capitalised word; as the case of a copy may differ, windows are also
+made from words in lower case, where only listed names are names. Windows of template words are hashed, at every place of
+items and documents. Pass one hash-joins the documents' windows with the items' windows and keeps the documents that share
+one. Pass two looks at every window of those documents, lines the matches up with the item, and checks the slots: along one
+alignment each value of the item must stand for one value of the document and the other way round, as it does when a
+question was re-parameterised and as it does when it was copied.
+
+A pair needs a certain number of an item's windows, so it shares at least one of the rarest: candidates are joined on each
+item's rarest windows alone, and wording that all items begin with makes no candidates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from factloom.llm.names import GIVEN, UNITS
-from factloom.llm.runtime import cut
+from factloom.llm.names import GIVEN, NUMBER_WORDS, UNITS
+from factloom.llm.runtime import cut, free, row_key
 
 #: Words of a window. Items below WINDOW words have windows of SHORT words; an item
 #: below SHORT words is found only where it is a whole text, as so few words stand in any prose.
 WINDOW, SHORT = 8, 5
 NUMBER, NAME, UNIT = "#n", "#a", "#u"
-_BREAK = r"[^\p{L}\p{N}.,]+|[.,](?![0-9])|(?<![0-9])[.,]"
+_BREAK = r"[^\p{L}\p{N}.,]+|[.,](?![0-9])|(?<![0-9])[.,]|(?<=[0-9])(?=\p{L})"
 _NAMES = sorted({n.lower() for names in GIVEN.values() for n in names})
+_WINDOWS = "array<struct<pos: int, size: int, h: bigint>>"
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _BREAK), lambda t: t != "")
+    return F.filter(F.split(F.coalesce(text, F.lit("")), _BREAK), lambda t: t != "")
 
 
 def _is_number(t: Column) -> Column:
-    return (t >= "0") & (t < ":")
+    return (t >= "0") & (t < ":") | t.isin(NUMBER_WORDS)
 
 
-def _template(words: str) -> Column:
-    """Words with placeholders; ``words`` names a column."""
-    return F.transform(
-        words,
-        lambda t, i: F.when(_is_number(t), NUMBER).when(t.isin(_NAMES), NAME).when(t.isin(UNITS) & (i > 0) & _is_number(F.get(F.col(words), i - 1)), UNIT).otherwise(t),
-    )
+def _template(words: str, lower: str, capitals: bool) -> Column:
+    """Words with placeholders; ``words`` and ``lower`` name columns with the words as they stand and in lower case."""
 
+    def capital(t: Column, i: Column) -> Column:
+        own = F.get(F.col(words), i)
+        return (own != t) & (F.length(t) > 1) & (own == F.initcap(t))
 
-def _windows(template: str, size: int) -> Column:
+    def one(t: Column, i: Column) -> Column:
+        name = t.isin(_NAMES) | capital(t, i) if capitals else t.isin(_NAMES)
+        return F.when(_is_number(t), NUMBER).when(name, NAME).when(t.isin(UNITS) & (i > 0) & _is_number(F.get(F.col(lower), i - 1)), UNIT).otherwise(t)
+
+    return F.transform(lower, one)
+
+
+def _templated(df: DataFrame, text: Column) -> DataFrame:
+    """df with w (words in lower case), t and u (templates with and without capitalised words as names) and ht, hu (their hashes)."""
+    df = df.withColumn("raw", _words(text)).withColumn("w", F.transform("raw", lambda x: F.lower(x)))
+    df = df.withColumn("t", _template("raw", "w", True)).withColumn("u", _template("raw", "w", False))
+    return df.withColumn("ht", F.transform("t", lambda x: F.xxhash64(x))).withColumn("hu", F.transform("u", lambda x: F.xxhash64(x))).drop("raw")
+
+
+def _windows(hashes: str, size: int) -> Column:
     """(pos, size, h): windows of ``size`` words at every place; none for fewer words."""
-    n = F.size(template) - size
-    at = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(i.alias("pos"), F.lit(size).alias("size"), F.xxhash64(F.slice(F.col(template), i + 1, size)).alias("h")))
-    return F.when(n >= 0, at).otherwise(F.array().cast("array<struct<pos: int, size: int, h: bigint>>"))
+    n = F.size(hashes) - size
+    at = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(i.alias("pos"), F.lit(size).alias("size"), F.xxhash64(F.slice(F.col(hashes), i + 1, size)).alias("h")))
+    return F.when(n >= 0, at).otherwise(F.array().cast(_WINDOWS))
 
 
-def _whole(template: str) -> Column:
+def _whole(hashes: str) -> Column:
     """The one window of a text below the shortest window; its hash differs from that of any other window."""
-    n = F.size(template)
-    return F.array(F.struct(F.lit(0).alias("pos"), n.alias("size"), F.xxhash64(F.col(template), F.lit("whole")).alias("h")))
+    n = F.size(hashes)
+    return F.array(F.struct(F.lit(0).alias("pos"), n.alias("size"), F.xxhash64(F.col(hashes), F.lit("whole")).alias("h")))
+
+
+def _text_windows(size: int) -> Column:
+    """Windows of both templates; those of the second only where they differ."""
+    first, second = _windows("ht", size), _windows("hu", size)
+    return F.when(F.col("ht") == F.col("hu"), first).otherwise(F.concat(first, F.filter(second, lambda x, i: x["h"] != F.xxhash64(F.slice(F.col("ht"), i + 1, size)))))
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, min_coverage: float = 0.5, min_run: int = 6,
 ) -> DataFrame:
-    """(id_col, item_col, n_windows, item_windows, coverage, n_slots): documents and the items they hold.
+    """(id_col, item_col, n_windows, item_windows, coverage, n_slots, row_key): documents and the items they hold.
 
     n_windows: windows of the item that the document has in alignments with consistent slots. A pair is returned if they are
     at least ``min_coverage`` of the item's windows, or ``min_run`` (that is, 13 template words of the item). Items below
     ``window`` words have windows of SHORT words, and one below SHORT words matches texts that are nothing else. Null texts
     and texts without words match nothing. Repeated rows and a null id are told apart by id and
     text: equal rows give one pair. Windows of which over half are placeholders are left out, as tables of numbers would
-    match them.
+    match them. row_key: 128 bits of the row's id and text. Other columns, whatever their names, are not read.
     """
-    key = F.xxhash64(F.col(id_col), F.col(text_col))
+    key = row_key(id_col, text_col)
     short = min(SHORT, window)
-    items = benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("iw")).where(F.size("iw") > 0).select("*", _template("iw").alias("it"))
-    of_item = F.when(F.size("iw") >= window, _windows("it", window)).when(F.size("iw") >= short, _windows("it", short)).otherwise(_whole("it"))
-    entries = items.select("item", "iw", "it", F.inline(of_item)).withColumnRenamed("pos", "ipos")
-    raw, shape = F.slice("iw", F.col("ipos") + 1, F.col("size")), F.slice("it", F.col("ipos") + 1, F.col("size"))
+    items = _templated(benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").alias("x")), F.col("x")).where(F.size("w") > 0)
+
+    def of_item(hashes: str) -> Column:
+        return F.when(F.size("w") >= window, _windows(hashes, window)).when(F.size("w") >= short, _windows(hashes, short)).otherwise(_whole(hashes))
+
+    parts = [items.select("item", "w", F.col(shape).alias("shape"), F.inline(of_item(hashes))) for shape, hashes in (("t", "ht"), ("u", "hu"))]
+    entries = parts[0].union(parts[1]).withColumnRenamed("pos", "ipos")
+    raw, shape = F.slice("w", F.col("ipos") + 1, F.col("size")), F.slice("shape", F.col("ipos") + 1, F.col("size"))
     entries = entries.select("item", "ipos", "size", "h", raw.alias("iraw"), shape.alias("ishape"))
-    entries = cut(entries.where(F.size(F.filter("ishape", lambda t: t.startswith("#"))) * 2 <= F.col("size")))
-    totals = entries.groupBy("item").agg(F.countDistinct("ipos").alias("item_windows"))
-
-    sizes = {r["size"] for r in entries.select("size").distinct().collect()}
-    in_text = F.concat(*[_windows("t", n) for n in sorted({window, short} & sizes)]) if {window, short} & sizes else F.array().cast("array<struct<pos: int, size: int, h: bigint>>")
-    in_text = F.when(F.size("t") < short, _whole("t")).otherwise(in_text)
-    words = docs.select(key.alias("k"), _words(F.col(text_col)).alias("w")).where(F.size("w") >= (1 if min(sizes, default=short) < short else min(sizes, default=1)))
-    hashed = words.select("k", _template("w").alias("t")).select("k", F.explode(F.transform(in_text, lambda x: x["h"])).alias("h"))
-    found = cut(hashed.join(entries.select("h").distinct(), "h", "left_semi").select("k").distinct())
-
-    near = docs.select(F.col(id_col).alias("id"), key.alias("k"), F.col(text_col).alias("x")).join(found, "k", "left_semi")
-    near = near.dropDuplicates(["k"]).select("id", "k", _words(F.col("x")).alias("w")).select("*", _template("w").alias("t"))
-    at = near.select("id", "k", "w", F.inline(in_text))
-    at = at.select("id", "k", "pos", "h", F.slice("w", F.col("pos") + 1, F.col("size")).alias("raw"))
-    hits = at.join(entries, "h").select("id", "k", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "raw", "iraw", "ishape")
+    entries = entries.where(F.size(F.filter("ishape", lambda t: t.startswith("#"))) * 2 <= F.col("size"))
+    # How many items have a window, and each item's windows by that, the rarest first.
+    spread = entries.groupBy("h").agg(F.countDistinct("item").alias("items"))
+    entries = cut(entries.dropDuplicates(["item", "ipos", "h"]).join(spread, "h"))
+    places = entries.groupBy("item", "ipos").agg(F.max("items").alias("items"))
+    totals = places.groupBy("item").agg(F.count("*").alias("item_windows"))
+    needed = F.least(F.lit(min_run), F.greatest(F.ceil(min_coverage * F.col("item_windows") - 1e-5), F.lit(1)))
+    ranked = places.withColumn("rank", F.row_number().over(W.partitionBy("item").orderBy("items", "ipos"))).join(totals, "item")
+    rare = cut(entries.join(ranked.where(F.col("rank") <= F.col("item_windows") - needed + 1).select("item", "ipos"), ["item", "ipos"], "left_semi").select("item", "h"))
+
+    sizes = {r["size"] for r in entries.select("size").distinct().collect()}  # window, SHORT and what is below: a few values
+    in_text = F.concat(*[_text_windows(n) for n in sorted({window, short} & sizes)]) if {window, short} & sizes else F.array().cast(_WINDOWS)
+    in_text = F.when(F.size("w") < short, F.array_union(_whole("ht"), _whole("hu"))).otherwise(in_text)
+    least = 1 if min(sizes, default=short) < short else min(sizes, default=1)
+    words = _templated(docs.select(key.alias("k"), F.col(f"`{text_col}`").alias("x")), F.col("x")).where(F.size("w") >= least)
+    hashed = words.select("k", F.explode(F.transform(in_text, lambda x: x["h"])).alias("h"))
+    found = cut(hashed.join(rare.select("h").distinct(), "h", "left_semi").select("k").distinct())
+
+    near = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("k"), F.col(f"`{text_col}`").alias("x")).join(found, "k", "left_semi").dropDuplicates(["k"])
+    at = _templated(near, F.col("x")).select("id", "k", "w", F.inline(in_text))
+    at = cut(at.select("id", "k", "pos", "h", F.slice("w", F.col("pos") + 1, F.col("size")).alias("raw")).join(entries.select("h").distinct(), "h", "left_semi"))
+    pairs = at.select("k", "h").join(rare, "h").select("k", "item").distinct()
+    hits = pairs.join(entries, "item").join(at, ["k", "h"]).select("id", "k", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "raw", "iraw", "ishape")
     # Slots of a window: kind and both values. Windows of one alignment overlap, so the sets are joined.
     slots = F.filter(F.arrays_zip("ishape", "iraw", "raw"), lambda s: s["ishape"].startswith("#"))
     runs = hits.groupBy("id", "k", "item", "shift").agg(F.collect_set("ipos").alias("places"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"))
-    sources = F.array_distinct(F.transform("slots", lambda s: F.struct(s["ishape"].alias("a"), s["iraw"].alias("b"))))
-    runs = runs.where(F.size("slots") == F.size(sources))
+    of = lambda side: F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["ishape"].alias("a"), s[side].alias("b")))))
+    runs = runs.where((F.size("slots") == of("iraw")) & (F.size("slots") == of("raw")))
     pairs = runs.groupBy("id", "k", "item").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"), F.max(F.size("slots")).cast("long").alias("n_slots"))
     out = pairs.join(totals, "item").withColumn("coverage", F.round(F.col("n_windows") / F.col("item_windows"), 6))
     out = out.where((F.col("coverage") >= min_coverage) | (F.col("n_windows") >= min_run))
@@ -99,5 +136,6 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the rows that hold a benchmark item; rows of one id that differ in text are judged apart."""
-    gone = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("row_key").alias("_k")).distinct()
-    return docs.withColumn("_k", F.xxhash64(F.col(id_col), F.col(text_col))).join(gone, "_k", "left_anti").drop("_k")
+    (own,) = free(docs, "_k")
+    gone = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("row_key").alias(own)).distinct()
+    return docs.withColumn(own, row_key(id_col, text_col)).join(gone, own, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
