@@ -8,7 +8,6 @@ window costs a few table look-ups and additions.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,14 +16,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from factloom.llm import texts as T
-from factloom.llm.runtime import ensure_importable
+from factloom.llm.runtime import ensure_importable, free
 
 WINDOW = 96
 WIDTHS = (2, 3, 4)
 UNKNOWN = "und"
 _FOLD = T.LOWER.copy()
 _FOLD[0x30:0x3A] = 0x30
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def folded(data: np.ndarray) -> np.ndarray:
@@ -138,11 +136,13 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts_per_lang: int = 600, windows_per_text: int = 6, max_langs: int = 100) -> ByteConvNet | None:
-    """Train on a bounded sample: the ``texts_per_lang`` texts of each language with the least hash of the id, and up to
-    ``windows_per_text`` evenly spaced windows of each; ``max_langs`` languages at most. Held-out rows and null languages are left out. None without labels.
+    """Train on a bounded sample: of the ``max_langs`` most frequent languages the ``texts_per_lang`` ids with the least hash, a
+    text for each of them (the one with the least hash), and up to ``windows_per_text`` evenly spaced windows of each.
+    Held-out rows and null languages are left out. None without labels.
     """
     ensure_importable(docs.sparkSession)
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("lang"))
+    rows = rows.where(~held_out("_id") & F.col("_id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("t") > 0))
 
     def some(batches):
         for batch in batches:
@@ -155,24 +155,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     order.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(langs, pa.string()), pa.array(order, pa.int64())], ["w", "lang", "key"])
 
-    # Ids first, as rows without texts. By a language's count, only keys that may be among its first are ranked, so the
-    # ranking sees a few rows for each text of the sample at any size. The texts of the chosen ids are read afterwards.
-    ids = rows.select(F.col(id_col).alias("_id"), F.xxhash64(F.lit(3), id_col).alias("key"), F.col(lang_col).alias("lang"))
-    counts = ids.groupBy("lang").count().limit(max_langs + 1).collect()
+    # Ids first, as rows without texts. By a language's number of ids, only keys that may be among its first are ranked, so
+    # the ranking sees a few rows for each text of the sample at any size. The texts of the chosen ids are read afterwards.
+    ids = rows.select("_id", F.xxhash64(F.lit(3), "_id").alias("key"), "lang")
+    counts = ids.groupBy("lang").agg(F.approx_count_distinct("_id").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
     may = F.lit(False)
     for lang, n in counts:
-        share = min(1.0, (2 * texts_per_lang + 200) / n)
+        share = min(1.0, (3 * texts_per_lang + 200) / n)
         may = may | ((F.col("lang") == lang) & (F.col("key") <= min(int(-(2**63) + share * 2**64), 2**63 - 1)))
-    first = ids.where(may).withColumn("_r", F.row_number().over(W.partitionBy("lang").orderBy("key", "_id"))).where(F.col("_r") <= texts_per_lang)
-    if len(counts) > max_langs:
-        raise ValueError(f"over {max_langs} languages; raise max_langs")
-    picked = first.select("_id", "lang").limit(texts_per_lang * max_langs).collect()
+    first = ids.where(may).distinct().withColumn("_r", F.row_number().over(W.partitionBy("lang").orderBy("key", "_id"))).where(F.col("_r") <= texts_per_lang)
+    picked = first.select("_id", "lang").collect()  # texts_per_lang * max_langs at most
     if not picked:
         return None
     langs = sorted({r.lang for r in picked})
-    chosen = F.broadcast(docs.sparkSession.createDataFrame(picked, first.select("_id", "lang").schema).distinct())
-    source = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), F.col(id_col).alias("_id")).where("octet_length(t) > 0")
-    sample = source.join(chosen, ["_id", "lang"]).select("t", "lang", F.xxhash64("_id").alias("key")).mapInArrow(some, "w binary, lang string, key long")
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(picked, first.select("_id", "lang").schema))
+    texts = rows.join(chosen, ["_id", "lang"]).groupBy("_id", "lang").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    sample = texts.select("t", "lang", F.xxhash64("_id").alias("key")).mapInArrow(some, "w binary, lang string, key long")
     got = sorted(map(tuple, sample.distinct().collect()), key=lambda r: (r[1], r[2], bytes(r[0])))
     data = folded(np.frombuffer(b"".join(bytes(r[0]).ljust(WINDOW, b"\0") for r in got), np.uint8)).reshape(-1, WINDOW)
     # A fifth of the windows is cut short, as those of short texts are.
@@ -187,7 +185,7 @@ def identify(docs: DataFrame, model: ByteConvNet | None, text_col: str = "text")
     """docs with lang_pred string and score double (0 to 1), from the text alone.
 
     A null text, and one without letters, is ``und`` with score 0; so is every text without a model (no labelled rows).
-    Columns of those two names are replaced.
+    Columns of those two names are replaced, all others stay whatever their names.
     """
     spark = docs.sparkSession
     ensure_importable(spark)
@@ -196,7 +194,7 @@ def identify(docs: DataFrame, model: ByteConvNet | None, text_col: str = "text")
     @F.arrow_udf("struct<lang:string,score:double>")
     def predicted(text: pa.Array) -> pa.Array:
         net = shared.value
-        letters = np.array([bool(x and _LETTER.search(x)) for x in text.to_pylist()], bool)
+        letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
         best, score = np.zeros(len(text), np.int64), np.zeros(len(text))
         if net is not None and len(net.classes):
             data, offsets = T.flat(text)
@@ -215,5 +213,7 @@ def identify(docs: DataFrame, model: ByteConvNet | None, text_col: str = "text")
         langs = pa.array(net.classes if net is not None and net.classes else [UNKNOWN], pa.string()).take(pa.array(best))
         return pa.StructArray.from_arrays([pc.if_else(pa.array(known), langs, UNKNOWN), pa.array(np.where(known, np.clip(score, 0, 1), 0.0))], ["lang", "score"])
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "_p")]
-    return docs.withColumn("_p", predicted(F.col(text_col))).select(*[F.col(f"`{c}`") for c in names], F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
+    (own,) = free(docs, "_predicted")
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    out = docs.withColumn(own, predicted(F.col(f"`{text_col}`")))
+    return out.select(*[F.col(f"`{c}`") for c in names], F.col(f"{own}.lang").alias("lang_pred"), F.col(f"{own}.score").alias("score"))

@@ -196,15 +196,16 @@ class Tokens:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
-def _rows(sequences: Iterator[list[Item]], crc) -> Iterator[pa.RecordBatch]:
+def _rows(sequences: Iterator[list[Item]], crc, schema: str = PIECES) -> Iterator[pa.RecordBatch]:
+    """Rows of PIECES, and after them what an owner has beside its id, number of tokens and ids."""
     base = TaskContext.get().partitionId() << 33
-    names = [x.split()[0] for x in PIECES.split(", ")]
+    names = [x.split()[0] for x in schema.split(", ")]
     rows: list[tuple] = []
     for k, seq in enumerate(sequences):
         offset = 0
         for x in seq:
-            doc_id, total, ids = x.owner
-            rows.append((doc_id, x.start, x.length, crc(ids, x), total, base + k, offset, x.demand()))
+            doc_id, total, ids, *more = x.owner
+            rows.append((doc_id, x.start, x.length, crc(ids, x), total, base + k, offset, x.demand(), *more))
             offset += x.length
         if len(rows) >= 4096:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
@@ -233,30 +234,37 @@ def pack_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         yield from _rows(pack(items(), limits), lambda ids, x: zlib.crc32(ids[x.start : x.start + x.length].tobytes()))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(packed, PIECES)
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(packed, PIECES)
 
 
-def pack_conversations(turns: DataFrame, tokenizer: str = "byte_bpe_50k.json", limits: Limits = Limits(), loss_roles: tuple[str, ...] = ("assistant",), end_id: int = 0) -> DataFrame:
+def pack_conversations(
+    turns: DataFrame, tokenizer: str = "byte_bpe_50k.json", limits: Limits = Limits(), loss_roles: tuple[str, ...] = ("assistant",), end_id: int = 0, max_turns: int = 1024,
+) -> DataFrame:
     """Instruction data: the turns of a conversation in order are one example; only tokens of ``loss_roles`` bear loss.
 
     turns: conv_id, turn, role, text. An example is not cut unless it exceeds a limit by itself. Returns PIECES with conv_id
-    as doc_id. Null texts are empty turns.
+    as doc_id, and part long. Null texts are empty turns. Turns with one number are ordered by role and text, a null number
+    comes first. A conversation is divided after every ``max_turns`` turn numbers, so a conversation with a large share of
+    all turns is an example for each part (0, 1, ...), with starts and doc_tokens of its own, and no task gathers more.
+    Other columns, whatever their names, are not read.
     """
     ensure_importable(turns.sparkSession)
-    convs = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    part = F.coalesce(F.floor(F.col("turn") / max_turns), F.lit(0)).cast("long")
+    convs = turns.groupBy("conv_id", part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    schema = PIECES + ", part long"
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Tokens.named(tokenizer)
 
         def items() -> Iterator[Item]:
             for batch in batches:
-                for conv_id, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for conv_id, part, said in zip(*(batch.column(k).to_pylist() for k in range(3))):
                     ids, loss = [], []
-                    for part in parts:
-                        got = [*encode(part["text"] or ""), end_id]
+                    for turn in said:
+                        got = [*encode(turn["text"] or ""), end_id]
                         ids += got
-                        loss += [part["role"] in loss_roles] * len(got)
-                    yield Item((conv_id, len(ids), np.array(ids, "<u4")), 0, len(ids), np.r_[0, np.cumsum(loss)])
+                        loss += [turn["role"] in loss_roles] * len(got)
+                    yield Item((conv_id, len(ids), np.array(ids, "<u4"), part), 0, len(ids), np.r_[0, np.cumsum(loss)])
 
         def whole() -> Iterator[Item]:
             for x in items():
@@ -266,6 +274,6 @@ def pack_conversations(turns: DataFrame, tokenizer: str = "byte_bpe_50k.json", l
                 if x is not None:
                     yield x
 
-        yield from _rows(pack(whole(), limits, cut=False), lambda ids, x: zlib.crc32(ids[x.start : x.start + x.length].tobytes()))
+        yield from _rows(pack(whole(), limits, cut=False), lambda ids, x: zlib.crc32(ids[x.start : x.start + x.length].tobytes()), schema)
 
-    return convs.select(F.col("conv_id").cast("long"), "turns").mapInArrow(packed, PIECES)
+    return convs.select(F.col("conv_id").cast("long"), "part", "turns").mapInArrow(packed, schema)

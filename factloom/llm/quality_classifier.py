@@ -31,5 +31,5 @@ def score(docs: DataFrame, model: trees.Trees, text_col: str = "text", threshold
     def scored(text: pa.Array) -> pa.Array:
         return pa.array(shared.value.probability(stats.measure(text)[1]))
 
-    out = docs.drop("score", "predicted").withColumn("score", scored(F.col(text_col)))
+    out = docs.drop("score", "predicted").withColumn("score", scored(F.col(f"`{text_col}`")))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -64,11 +64,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *license_scan.FIELDS)
 
 
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whole in sequences under limits that all bind: tokens, examples, and tokens of the assistant."""
+    limits = packing.Limits(tokens=4096, segments=8, loss=2048)
+    return packing.pack_conversations(table(spark, sf_dir, "conversations"), limits=limits).withColumnRenamed("doc_id", "conv_id").withColumnRenamed("doc_tokens", "conv_tokens")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_decontamination, op3_packing, op4_external_shuffle, op5_simhash, op6_html_text, op7_quality_rules,
-        op8_quality_classifier, op9_pii_surrogates, op10_license_scan,
+        op8_quality_classifier, op9_pii_surrogates, op10_license_scan, conversation_packing,
     )
 }
 #: No operator here can be put in SQL that gives the same rows; tests/llm holds each against a brute-force version.

@@ -1,7 +1,7 @@
 """Two-pass external shuffle into shards.
 
-Pass one scatters whole records into buckets by a seeded hash of all their columns; a bucket is sized to fit in a task's memory. Pass
-two shuffles each bucket by Fisher-Yates with a seed of its own. The buckets in order are one uniformly shuffled sequence,
+Pass one scatters whole records into buckets by a seeded hash of all their columns, and of a copy's number where a record is
+repeated so often that its copies would fill a bucket; a bucket is sized to fit in a task's memory. Pass two shuffles each bucket by Fisher-Yates with a seed of its own. The buckets in order are one uniformly shuffled sequence,
 which is cut into shards whose row counts differ by one at most (the law ``rows``). Nothing depends on how Spark happened to
 partition the input, so a task that is run again writes the same rows.
 """
@@ -13,10 +13,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql import types as S
 
-from factloom.llm.runtime import ensure_importable
+from factloom.llm.runtime import cut, ensure_importable, free
 
 #: Bytes of records in a bucket.
 BUCKET_BYTES = 8 << 20
@@ -35,39 +35,70 @@ def fisher_yates(n: int, seed: int) -> np.ndarray:
     return np.array(order, np.int64)
 
 
-def external_shuffle(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _running(counts: DataFrame, bucket: str, width: int = 4096) -> DataFrame:
+    """(bucket, before): rows in the buckets before each one. No task sees more than ``width`` buckets, or one sum for so many."""
+    blocks = counts.withColumn("_block", F.floor(F.col(bucket) / width))
+    inside = F.sum("_n").over(W.partitionBy("_block").orderBy(bucket)) - F.col("_n")
+    totals = blocks.groupBy("_block").agg(F.sum("_n").alias("_all"))
+    totals = totals.select("_block", (F.sum("_all").over(W.orderBy("_block")) - F.col("_all")).alias("_first"))
+    return blocks.withColumn("_inside", inside).join(totals, "_block").select(bucket, (F.col("_first") + F.col("_inside")).alias("before"))
+
+
+def _copies(docs: DataFrame, row_: str, copy_: str, most: int, chunk: int = 1000) -> DataFrame:
+    """docs with a number for each copy of the rows that occur over ``most`` times; 0 for all others.
+
+    Copies are counted on the map side, so one row stands for all that a task has, and made again in chunks.
+    """
+    hot = docs.groupBy(row_).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(row_)
+    hot = cut(hot)
+    if hot.isEmpty():
+        return docs.withColumn(copy_, F.lit(0).cast("long"))
+    names = docs.columns
+    once = docs.join(hot, row_, "left_semi").groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count("*").alias(copy_ + "n"))
+    parts = once.withColumn(copy_ + "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copy_ + "n") - 1, F.lit(chunk).cast("long")))).repartition(row_, copy_ + "at")
+    last = F.least(F.col(copy_ + "at") + chunk, F.col(copy_ + "n")) - 1
+    again = parts.withColumn(copy_, F.explode(F.sequence(copy_ + "at", last))).select(*[F.col(f"`{c}`") for c in names], copy_)
+    return docs.join(hot, row_, "left_anti").select(*[F.col(f"`{c}`") for c in names]).withColumn(copy_, F.lit(0).cast("long")).unionByName(again)
+
+
+def external_shuffle(docs: DataFrame, shards: int, text_col: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES, buckets_a_task: int = 4) -> DataFrame:
     """docs in shuffled order, with the columns shard int and slot long (gapless from 0 in each shard).
 
-    Null texts have no bytes. Rows of one id that differ in any column are scattered apart, so a hot id fills no bucket.
-    Repeated rows are records of their own; copies equal in every column share a bucket. Maps are left out of the hash.
-    Columns named shard or slot are replaced.
+    Null texts have no bytes. Rows of one id that differ in any column are scattered apart, and so are the copies of a row
+    that is repeated over ``bucket_bytes`` / (64 * its bytes) times, so no id and no row fills a bucket. Columns of any type
+    and name stay as they are (maps are hashed by their sorted entries; where maps lie inside of other types, those columns
+    are left out of the hash and repeated rows share a bucket). Columns named shard or slot are replaced.
     """
     ensure_importable(docs.sparkSession)
     docs = docs.drop("shard", "slot")
-    own = "_s"
-    while any(c.startswith(own) for c in docs.columns):
-        own += "_"
-    row_, bucket_, before_ = (own + x for x in ("row", "bucket", "before"))
-    weight = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + RECORD_BYTES
+    row_, bucket_, before_, copy_ = free(docs, "_srow", "_sbucket", "_sbefore", "_scopy")
+    names, maps = docs.columns, [f.name for f in docs.schema.fields if isinstance(f.dataType, S.MapType)]
+    nested = [f.name for f in docs.schema.fields if f.name not in maps and "map<" in f.dataType.simpleString() or f.name in maps and f.dataType.simpleString().count("map<") > 1]
+    weight = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long") + RECORD_BYTES
     rows, total = docs.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
     buckets = max(1, math.ceil(total / bucket_bytes))
-    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    row = F.xxhash64(F.lit(seed), *hashed)
-    bucket = F.pmod(row, F.lit(buckets))
-    counts = docs.select(bucket.alias(bucket_)).groupBy(bucket_).agg(F.count("*").alias("_n"))
-    # One row for each bucket; running totals over them in one task are small beside the data (one row for bucket_bytes).
-    before = counts.selectExpr(bucket_, f"sum(_n) over (order by {bucket_}) - _n as {before_}")
-    scattered = docs.withColumn(row_, row).withColumn(bucket_, F.pmod(row_, F.lit(buckets))).join(before, bucket_)
-    names = docs.columns
+
+    def entries(df: DataFrame, back: bool = False) -> DataFrame:
+        """Maps as sorted arrays of entries, which can be hashed and grouped, and back."""
+        change = F.map_from_entries if back else lambda c: F.array_sort(F.map_entries(c))
+        return df.withColumns({c: change(F.col(f"`{c}`")) for c in maps if c not in nested}) if maps else df
+
+    flat = entries(docs)
+    flat = flat.withColumn(row_, F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in names if c not in nested]))
+    most = max(1, bucket_bytes // (64 * max(1, total // max(rows, 1))))
+    flat = flat.withColumn(copy_, F.lit(0).cast("long")) if nested else _copies(flat, row_, copy_, most)
+    bucket = F.pmod(F.when(F.col(copy_) == 0, F.col(row_)).otherwise(F.xxhash64(row_, copy_)), F.lit(buckets))
+    flat = flat.withColumn(bucket_, bucket)
+    counts = flat.select(bucket_).groupBy(bucket_).agg(F.count("*").alias("_n"))
+    before = _running(counts, bucket_).withColumnRenamed("before", before_)
+    scattered = entries(flat, back=True).join(before, bucket_).repartition(max(1, math.ceil(buckets / buckets_a_task)), bucket_)
     schema = S.StructType([*docs.schema.fields, S.StructField("shard", S.IntegerType()), S.StructField("slot", S.LongType())])
 
     def shuffled(group: pa.Table) -> pa.Table:
         n = group.num_rows
         # The rows arrive in any order, so they are put in one that depends on the rows alone.
-        ids = group.column(id_col).cast(pa.int64())
-        texts = group.column(text_col)
-        keys = pa.table({"i": ids, "t": texts, "r": group.column(row_)})
-        order = pc.sort_indices(keys, sort_keys=[("i", "ascending"), ("t", "ascending"), ("r", "ascending")]).to_numpy()
+        keys = pa.table({"r": group.column(row_), "t": group.column(text_col)})
+        order = pc.sort_indices(keys, sort_keys=[("r", "ascending"), ("t", "ascending")]).to_numpy()
         order = order[fisher_yates(n, seed * 1_000_003 + int(group.column(bucket_)[0].as_py()))]
         place = int(group.column(before_)[0].as_py()) + np.arange(n, dtype=np.int64)
         shard = place * shards // rows

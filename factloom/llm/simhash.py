@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from factloom.llm import texts as T
-from factloom.llm.components import components
-from factloom.llm.runtime import cut, ensure_importable
+from factloom.llm.components import components, first_members
+from factloom.llm.runtime import cut, ensure_importable, keep_rows, row_key
 
 #: Bits left before each split and the widths of the four blocks they are cut into.
 LEVELS = ((64, (16, 16, 16, 16)), (48, (12, 12, 12, 12)), (36, (9, 9, 9, 9)), (27, (7, 7, 7, 6)), (21, (6, 5, 5, 5)))
@@ -198,6 +198,16 @@ def similar_links(nodes: DataFrame, budget: int = 3, max_group: int = 8192) -> D
     return out
 
 
+def _classes(prints: DataFrame, budget: int, max_group: int) -> DataFrame:
+    """(fp, first): each fingerprint with the least (id, fingerprint) of its component. prints: id, fp."""
+    every = cut(prints.groupBy("fp").agg(F.min("id").alias("node")))
+    nodes = every.where("node is not null")
+    # A fingerprint is its own node, as one id may have several texts.
+    tied = components(similar_links(nodes.select(F.col("fp").alias("node"), "fp"), budget, max_group), "a", "b")
+    labels = first_members(tied, nodes)
+    return every.join(labels, "fp", "left").select("fp", F.coalesce("first", F.struct("node", "fp")).alias("first"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 3, shingle: int = 3, max_group: int = 8192) -> DataFrame:
     """(id_col, fingerprint string, component_id): every row of docs with its fingerprint and its near-duplicate component.
 
@@ -206,21 +216,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their names, are not read.
     """
     ensure_importable(docs.sparkSession)
-    prints = cut(docs.select(F.col(id_col).cast("long").alias("id"), fingerprint_udf(shingle)(F.col(text_col)).alias("fp")))
-    nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("node")))
-    tied = components(similar_links(nodes.where("node is not null"), budget, max_group), "a", "b")
-    classes = nodes.join(tied, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(classes, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    prints = cut(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), fingerprint_udf(shingle)(F.col(f"`{text_col}`")).alias("fp")))
+    return prints.join(_classes(prints, budget, max_group), "fp").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.node").alias("component_id")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 3, shingle: int = 3, max_group: int = 8192) -> DataFrame:
-    """docs with one document of each component: the one with the smallest id. Of rows that repeat that id one stays.
+    """docs with one row of each component: the one with the smallest id, and of rows with that id the one with the least
+    fingerprint and then the least hash of its text. Rows that share an id but not the text are told apart.
 
-    A row with a null id is kept, as there is nothing to tell it by.
+    Of rows equal in id and text the one with the least hash of all columns but maps stays. Rows with a null id are kept, as
+    there is nothing to tell them by.
     """
-    groups = near_duplicates(docs, id_col, text_col, budget, shingle, max_group)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    ensure_importable(docs.sparkSession)
+    prints = cut(docs.select(row_key(id_col, text_col).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), fingerprint_udf(shingle)(F.col(f"`{text_col}`")).alias("fp")))
+    rows = prints.where("id is not null").groupBy("row").agg(F.any_value("id").alias("id"), F.any_value("fp").alias("fp"), F.count("*").alias("times"))
+    rows = rows.join(_classes(prints, budget, max_group), "fp").withColumn("may", F.struct(F.col("id").alias("node"), "fp") == F.col("first"))
+    # Texts of one id may share a fingerprint: the one with the least hash stays.
+    least = rows.where("may").groupBy("id", "fp").agg(F.min("row").alias("least"))
+    rows = rows.join(least, ["id", "fp"], "left").select("row", "times", F.coalesce(F.col("may") & (F.col("row") == F.col("least")), F.lit(False)).alias("stays"))
+    return keep_rows(docs, row_key(id_col, text_col), cut(rows))

@@ -17,13 +17,6 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 2 << 20
 
 U64 = np.uint64
-_RANDOM = np.random.default_rng(20240607)
-#: A random odd 64-bit value for each byte, and the base of the positional hash with its inverse modulo 2**64.
-BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-BASE = 0x9DDFEA08EB382D69
-INVERSE = pow(BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
-
 #: 0x20 and 0x09-0x0D
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -87,26 +80,31 @@ def count_by_row(member: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for i, base in enumerate((BASE, INVERSE)):
-            all_ = np.full(size, U64(base), U64)
-            all_[0] = 1
-            _powers[i] = np.multiply.accumulate(all_)
-    return _powers[0], _powers[1]
+#: The first n of eight bytes.
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 class SpanHash:
-    """64-bit hash of any span of a block in a few operations: positional prefix sums modulo 2**64."""
+    """64-bit hash of any spans of a block: the sum of their 8-byte pieces, each mixed with its place, mixed with the length."""
 
     def __init__(self, data: np.ndarray):
-        forward, self.back = powers(len(data) + 1)
-        self.total = np.zeros(len(data) + 1, U64)
-        np.cumsum(BYTE_VALUE[data] * forward[: len(data)], out=self.total[1:])
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.pieces = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.total[end] - self.total[start]) * self.back[start] + (end - start).astype(U64))
+        n = (end - start).astype(np.int64)
+        count = -(-n // 8)
+        first = np.cumsum(count) - count
+        owner = np.repeat(np.arange(len(n)), count)
+        k = np.arange(len(owner)) - first[owner]
+        at = start[owner] + 8 * k
+        v = self.pieces[at] & _HEAD[np.minimum(end[owner] - at, 8)]
+        v = mixed(mixed(v) ^ ((k + 1).astype(U64) * U64(0x9DDFEA08EB382D69)))
+        total = np.zeros(len(n), U64)
+        some = np.flatnonzero(count)
+        if len(some):
+            total[some] = np.add.reduceat(v, first[some])
+        return mixed(total + n.astype(U64))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

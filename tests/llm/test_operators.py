@@ -1,6 +1,7 @@
 """Operators of factloom.llm against brute-force versions, round trips and held-out accuracy."""
 
 import html
+import itertools
 import random
 import re
 import zlib
@@ -10,9 +11,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from factloom.llm import (
-    decontaminate, html_extract, language_id, license_scan, packing, pii_surrogates, quality_classifier, quality_rules, queries, sharding, simhash, stats,
+    decontaminate, html_extract, language_id, license_scan, near_copies, packing, pii_surrogates, quality_classifier, quality_rules, queries, sharding, simhash, stats,
     trees,
 )
 from factloom.llm import texts as T
@@ -135,8 +137,7 @@ def test_decontamination_brute_force_windows(spark):
         for i, x in enumerate(items):
             total = len(grams(x))
             n = sum(g in set(grams(t)) for g in grams(x))
-            # A run of nine words is found for sure; one of eight only at every second place.
-            if total and (n >= 6 or n >= 2 and n / total >= 0.5):
+            if total and (n >= 6 or n / total >= 0.5):
                 assert got.get((d, i)) == n
             elif not n:
                 assert (d, i) not in got
@@ -163,6 +164,38 @@ def test_decontamination_at_every_place_and_short_items(spark):
     assert got == {(d, i): n for d, t in enumerate(texts) for i, x in enumerate(items) if (n := len(grams(x) & grams(t)))}
 
 
+def test_decontamination_names_off_the_list(spark):
+    """Names of no list, number words, two-way slots, and copies in another case."""
+    item = "Priya has 5 apples and gives 2 to Noah on the way home. How many apples does Priya have left over?"
+    texts = [
+        "Keiko has 9 apples and gives 4 to Omar on the way home. How many apples does Keiko have left over?", "so Ravi has seven apples and gives three to Zoë on the way home. How many apples does Ravi have left over?",
+        item.upper(), item.lower(), "Priya has 5 apples and gives 5 to Noah on the way home. How many apples does Priya have left over?",
+        "Keiko has 9 apples and gives 4 to Keiko on the way home. How many apples does Keiko have left over?", "Keiko has 9 pears and she ate 4 of them with Omar. How many were there?",
+    ]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+    assert set(got) == {0, 1, 2, 3} and got[0].coverage == 1.0
+
+
+def test_decontamination_hot_windows(spark):
+    """Items that share their first words: the shared windows make no candidates, and nothing is lost."""
+    rng = random.Random(8)
+    vocab = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    head = "answer the following question with one of the words that are given below here"
+    items = [f"{head} " + " ".join(rng.choice(vocab) for _ in range(rng.randint(8, 20))) for _ in range(40)]
+    texts = [f"{head} " + " ".join(rng.choice(vocab) for _ in range(15)) for _ in range(60)] + items + ["x y " + " ".join(t.split()[-12:]) for t in items]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+    grams = lambda t: {tuple(t.split()[k : k + 8]) for k in range(len(t.split()) - 7)}
+    want = {}
+    for d, t in enumerate(texts):
+        for i, x in enumerate(items):
+            n = len(grams(x) & grams(t))
+            if n >= 6 or n and round(n / len(grams(x)), 6) >= 0.5:
+                want[d, i] = n
+    assert got == want and len({d for d, _ in got}) > 60
+
+
 # -- 3 -------------------------------------------------------------------------------------------------------------------
 
 
@@ -212,6 +245,65 @@ def test_packing_limits_and_conversations(spark):
     assert all(sum(r.length for r in s) <= 256 and len(s) <= 8 and sum(r.loss_tokens for r in s) <= 100 for s in seqs.values())
 
 
+def test_conversations_equal_brute_force(spark):
+    """Each conversation's ids and loss-bearing ids come back whole, with each of the three limits binding somewhere."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    frame = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    hot = spark.createDataFrame([(10**6, t, "user" if t % 2 else "assistant", "yes") for t in range(3000)] + [(10**6 + 1, None, None, None)], "conv_id long, turn int, role string, text string")
+    frame = frame.select("conv_id", F.col("turn").cast("int").alias("turn"), "role", "text").unionByName(hot)
+    want = defaultdict(list)
+    for r in sorted(frame.collect(), key=lambda r: (r.conv_id, r.turn is not None, r.turn or 0)):
+        want[r.conv_id, (r.turn or 0) // 1024] += [(i, r.role == "assistant") for i in [*tok.encode(r.text or "", add_special_tokens=False).ids, 0]]
+    limits = packing.Limits(4096, 6, 1500)
+    rows = packing.pack_conversations(frame, limits=limits).collect()
+    got, seqs = defaultdict(list), defaultdict(list)
+    for r in rows:
+        got[r.doc_id, r.part].append(r)
+        seqs[r.sequence_id].append(r)
+    assert set(got) == set(want)
+    for k, parts in got.items():
+        parts.sort(key=lambda r: r.start)
+        assert [r.start for r in parts] == [sum(x.length for x in parts[:n]) for n in range(len(parts))] and parts[0].doc_tokens == len(want[k])
+        for r in parts:
+            piece = want[k][r.start : r.start + r.length]
+            assert len(piece) == r.length and r.loss_tokens == sum(x for _, x in piece) and r.ids_crc32 == zlib.crc32(np.array([i for i, _ in piece], "<u4").tobytes())
+        if len(want[k]) <= limits.tokens and sum(x for _, x in want[k]) <= limits.loss:
+            assert len(parts) == 1
+    full = [(sum(r.length for r in s), len(s), sum(r.loss_tokens for r in s)) for s in seqs.values()]
+    assert all(t <= 4096 and n <= 6 and x <= 1500 for t, n, x in full)
+    assert any(t > 3600 for t, _, _ in full) and any(n == 6 for _, n, _ in full) and any(x > 1350 for _, _, x in full)
+
+
+def brute_pack(sizes, limits, pool_size):
+    """Owners of each sequence: of the pool's items that fit, the one with the largest dot product; ties by the place in the pool."""
+    size = np.array([limits.tokens, limits.segments, limits.loss], float)
+    waiting, pool, free, out = list(enumerate(sizes)), {}, list(range(pool_size)), []
+    while waiting or pool:
+        while waiting and free:
+            pool[free.pop()] = waiting.pop(0)
+        left, seq = size.copy(), []
+        while fits := [(-(np.array([n, 1, x]) / size) @ (left / size), k) for k, (_, (n, x)) in pool.items() if n <= left[0] and 1 <= left[1] and x <= left[2]]:
+            k = min(fits)[1]
+            owner, (n, x) = pool.pop(k)
+            free.append(k)
+            seq.append(owner)
+            left -= (n, 1, x)
+        out.append(seq)
+    return out
+
+
+def test_dot_product_choice_equals_brute_force():
+    rng = np.random.default_rng(4)
+    sizes = [(int(n), int(rng.integers(0, n + 1))) for n in rng.integers(1, 60, 120)]
+    limits = packing.Limits(100, 4, 40)
+    sizes = [(n, min(x, 40)) for n, x in sizes]
+    items = (packing.Item(k, 0, n, np.r_[0, np.cumsum(np.arange(n) < x)]) for k, (n, x) in enumerate(sizes))
+    assert [[x.owner for x in s] for s in packing.pack(items, limits, cut=False, pool_size=16)] == brute_pack(sizes, limits, 16)
+
+
 # -- 4 -------------------------------------------------------------------------------------------------------------------
 
 
@@ -248,6 +340,22 @@ def test_shuffle_scatters_a_hot_id(spark):
     assert all(len(g) > 40 for g in groups.values())
 
 
+def test_shuffle_splits_hot_rows(spark):
+    """Equal rows above a bucket are scattered over many buckets, and the result does not depend on the partitions."""
+    frame = spark.createDataFrame([("a", "the same text", {"k": 1})] * 4000 + [(f"b{k}", f"text {k}", None) for k in range(500)], "doc_id string, text string, m map<string,int>")
+    out = sharding.external_shuffle(frame, 6, bucket_bytes=2000)
+    plan_buckets = out.select("shard").count()
+    rows = out.collect()
+    assert plan_buckets == 4500 and Counter((r.doc_id, r.text, str(r.m)) for r in rows) == Counter((r.doc_id, r.text, str(r.m)) for r in frame.collect())
+    again = sharding.external_shuffle(frame.repartition(9), 6, bucket_bytes=2000).collect()
+    assert sorted((r.doc_id, r.shard, r.slot) for r in rows) == sorted((r.doc_id, r.shard, r.slot) for r in again)
+    # A run of hot rows as long as a bucket would hold no other row; here they are mixed throughout.
+    order = [r.doc_id for r in sorted(rows, key=lambda r: (r.shard, r.slot))]
+    assert max(len(list(g)) for x, g in itertools.groupby(order) if x == "a") < 200
+    flat = sharding._copies(frame.select("doc_id", "text").withColumn("h", F.xxhash64("doc_id", "text")), "h", "copy", 10)
+    assert sorted(r.copy for r in flat.where("doc_id = 'a'").collect()) == list(range(4000)) and flat.where("doc_id != 'a' and copy = 0").count() == 500
+
+
 # -- 5 -------------------------------------------------------------------------------------------------------------------
 
 
@@ -356,6 +464,61 @@ def test_html_article_is_one_sign():
     assert text("<article><h1>Title</h1></article><p>short note") == ["Title"]
 
 
+def test_html_odd_markup():
+    long = "It was the best of times and it was the worst of times for all of the people in the town"
+    body = f"<p>{long} one</p><p>{long} two</p><p>{long} three</p>"
+    parts = [f"{long} {n}" for n in ("one", "two", "three")]
+    text = lambda page: html_extract.main_text(page).split("\n\n")
+    assert text(f"<button-group>x</button-group><article>{body}</article>")[-3:] == parts
+    assert text(f"<article><button>{body}</article>") == parts and text(f"<article><svg><select><p>{long}</p>{body}") == [long, *parts]
+    assert text(f"<article><noscript><p>no</p></noscript>{body}<select><option>a</select></article>") == parts
+    assert text(f'<div class="layout has-sidebar"><article>{body}</article></div>') == parts
+    assert text(f'<div class="sidebar-layout"><article>{body}</article><div class="widget">{long}</div></div>')[:3] == parts
+    assert text(f'<article><div class="entry-header"><h1>Title</h1></div>{body}</article>') == ["Title", *parts]
+    assert text(f'<article data-id="comments-off">{body}</article>') == parts and text(f'<div data-id="comments-off">{body}</div>') == parts
+    assert text(f"<form id=aspnet>{body * 2}</form>") == parts * 2
+    assert text(f'{body}<section class="comments"><article><p>{long} reader</p></article></section>') == parts
+    assert text(f'<div class="cookie-notice"><p>{long}</p></div><div class=sidebar><p>{long}</p></div>{body * 3}') == parts * 3
+    slow = "<button>" * 20_000 + body
+    assert text(slow) == parts
+
+
+#: Words of invented languages, so that no stop word of the list stands in them.
+def invented(rng, script, words):
+    letters = {"cyrillic": "абвгдежзиклмнопрстуфхцч", "greek": "αβγδεζηθικλμν", "cjk": "一丁七万三上下不世中丸主久乗九了事二五人今介"}[script]
+    lexicon = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(150)]
+    weights = [1 / (k + 1) for k in range(150)]
+    return ("" if script == "cjk" else " ").join(rng.choices(lexicon, weights, k=words))
+
+
+@pytest.mark.parametrize("script", ["cyrillic", "greek", "cjk"])
+def test_html_of_other_scripts(script):
+    rng = random.Random(7)
+    paras = [invented(rng, script, 90) for _ in range(5)]
+    menu = "".join(f"<li><a href=x>{invented(rng, script, 2)}</a></li>" for _ in range(8))
+    page = f"<ul>{menu}</ul>" + "".join(f"<div>{p}</div>" for p in paras) + f"<ul>{menu}</ul>"
+    assert html_extract.main_text(page).split("\n\n") == paras
+
+
+def test_html_labelled_pages_without_article():
+    """Generated pages in plain elements: blocks of the text are found, and those of everything else are not."""
+    rng = random.Random(11)
+    common = "the of and to in is that for on with as was it by this from at or an have not his they which".split()
+    def sentence(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(3, 9))) for _ in range(n)) + "."
+    hit = wanted = given = 0
+    for _ in range(60):
+        text = [sentence(rng.randint(30, 80)) for _ in range(rng.randint(3, 8))]
+        text.insert(1, sentence(5))
+        menu = "".join(f"<li><a href=/{k}>{sentence(2)}</a></li>" for k in range(6))
+        junk = f"<div><a href=1>{sentence(3)}</a> <a href=2>{sentence(4)}</a> <a href=3>{sentence(3)}</a></div>"
+        parts = [f"<div class='c{rng.randint(1, 9)}'><p>{t}</p></div>" for t in text]
+        page = f"<html><body><ul>{menu}</ul>{junk}{''.join(parts)}{junk}<ul>{menu}</ul><footer>{sentence(9)}</footer></body></html>"
+        got = html_extract.main_text(page).split("\n\n")
+        hit, wanted, given = hit + sum((Counter(got) & Counter(text)).values()), wanted + len(text), given + len(got)
+    assert hit / wanted > 0.98 and hit / given > 0.98
+
+
 # -- 7, 8 ----------------------------------------------------------------------------------------------------------------
 
 
@@ -507,8 +670,6 @@ def test_hostile_texts(spark):
 
 def test_surrogate_clashes_are_resolved(spark, monkeypatch):
     plain = pii_surrogates.surrogates
-    from pyspark.sql import functions as F
-
     def narrow(units, key, attempt=None):
         """All replacements are one of three until the second attempt."""
         if attempt is None:
@@ -557,8 +718,119 @@ def test_license_templates():
     assert run("alpha beta gamma p q delta z omega")[0] == 8
     assert run("alpha beta gamma p q r delta omega")[0] == 0
     assert run("alpha beta delta y z omega") == (0, 0.75)
-    phrases = {k: (v, [T.hash_of(w.encode()) for w in k.split()]) for k, v in license_scan.PHRASES.items()}
-    automata = {k: license_scan.Automaton(v) for k, v in license_scan.TEMPLATES.items()}
     texts = ["Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.", "released under the MITx License"]
-    got = license_scan.scan_texts(pa.array(texts), automata, phrases)
+    got = scan(texts, license_scan.TEMPLATES)
     assert [x[5] for x in got] == ["mit,mit-notice", "gpl,gpl-3.0-notice", ""] and got[0][6] == 1.0 and 0 < got[2][6] < 1
+    got = scan(["under the foo license", "licensed under the foo license", "licensed now under the foo license"], {"foo": "licensed {{1}} under the foo license", "one": "zeta"})
+    assert [x[5] for x in got] == ["", "foo", "foo"] and got[0][6] == 0
+    with pytest.raises(ValueError):
+        license_scan.Automaton("{{3}} [[optional]]")
+
+
+def scan(texts, templates):
+    phrases = {k: (v, [T.hash_of(w.encode()) for w in k.split()]) for k, v in license_scan.PHRASES.items()}
+    return license_scan.scan_texts(pa.array(texts), {k: license_scan.Automaton(v) for k, v in templates.items()}, phrases)
+
+
+def as_regex(template):
+    """The template as one expression over words joined by single spaces, without what comes before the first mandatory word."""
+    parts = re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(template))
+    depth, first = 0, 0
+    for k, x in enumerate(parts):
+        depth += (x == "[[") - (x == "]]")
+        if depth == 0 and x[0] not in "[]{":
+            first = k
+            break
+    out = ""
+    for x in parts[first:]:
+        out += "(?:" if x == "[[" else ")?" if x == "]]" else rf"(?:\S+ ){{0,{x[2:-2]}}}" if x[0] == "{" else re.escape(x) + " "
+    return re.compile(r"(?<!\S)" + out)
+
+
+def written(template, rng, optional, fill):
+    """The template's wording with or without its optional regions and with as many words as may stand in replaceable ones."""
+    text = re.sub(r"\[\[(.*?)\]\]", lambda m: m[1] if optional else " ", template, flags=re.S)
+    return re.sub(r"\{\{(\d+)\}\}", lambda m: " ".join(rng.choice(["Jane", "Doe", "2020", "ACME"]) for _ in range(int(m[1]) if fill else int(m[1]) // 2)), text)
+
+
+def test_license_labels_equal_brute_force():
+    """Whole texts of all templates, whole and with one mandatory word changed, against the template as a regular expression."""
+    rng = random.Random(2)
+    texts = []
+    for t in license_scan.TEMPLATES.values():
+        for optional, fill in itertools.product((True, False), repeat=2):
+            words_ = ("Copyright 2020 by someone. " + written(t, rng, optional, fill) + " And more of it.").split()
+            texts.append(" ".join(words_))
+            words_[rng.randrange(3, len(words_) - 4)] = "changed"
+            texts.append(" ".join(words_))
+    exact = {k: as_regex(v) for k, v in license_scan.TEMPLATES.items()}
+    for t, row in zip(texts, scan(texts, license_scan.TEMPLATES)):
+        plain = " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))) + " "
+        want = {k for k, x in exact.items() if x.search(plain)}
+        base = {label for p, label in license_scan.PHRASES.items() if f" {p} " in f" {plain}"}
+        assert set(filter(None, row[5].split(","))) == want | base, t
+        assert (row[6] == 1.0) == bool(want)
+    opening = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+    assert scan([opening], license_scan.TEMPLATES)[0][5] == ""
+
+
+# -- all ------------------------------------------------------------------------------------------------------------------
+
+
+CLASH = "_p _t _j _s _k _ents _own _map _row _r _x k h x w t u raw row fp node n text_ _pii _predicted _judged _scanned _text _srow score2".split()
+APPLY = {
+    "language": lambda df: language_id.identify(df, language_id.fit(df, texts_per_lang=20)),
+    "decontaminate": lambda df: decontaminate.decontaminate(df, df.sparkSession.createDataFrame([(1, ITEM)], "item_id long, text string")),
+    "near": lambda df: near_copies.drop_near_copies(df),
+    "simhash": lambda df: simhash.drop_near_duplicates(df),
+    "shuffle": lambda df: sharding.external_shuffle(df, 5, bucket_bytes=500),
+    "rules": lambda df: quality_rules.judge(df, quality_rules.fit(df, df.select("doc_id", (F.length("text") % 2).alias("quality")), limit=20)),
+    "classifier": lambda df: quality_classifier.score(df, quality_classifier.fit(df, df.select("doc_id", (F.length("text") % 2).alias("quality")), limit=20)),
+    "pii": lambda df: pii_surrogates.replace_pii(df, "k"),
+    "licenses": lambda df: license_scan.scan(df),
+}
+
+
+@pytest.mark.parametrize("name", sorted(APPLY))
+def test_clashing_names_repeated_ids_hot_rows(spark, name):
+    """Extra columns of any name come back as they were; of 300 rows one id has 200, half of them equal."""
+    texts = ["one two three four five six seven"] * 100 + [f"words of number {chr(97 + k % 26)}{chr(97 + k // 26)} stand here and tell of it" for k in range(100)] + [ITEM, None, "", "mail a.b@c.org"]
+    rows = [(7 if k < 200 else k, t, "en", *[f"{c}{k if k >= 100 else 0}" for c in CLASH]) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in CLASH))
+    got = APPLY[name](frame)
+    assert set(frame.columns) <= set(got.columns) and len(got.columns) == len(set(got.columns))
+    out = got.select(*frame.columns).collect()
+    if name in ("near", "simhash"):
+        assert Counter(r.text for r in out)[texts[0]] == 1 and len(out) < len(rows) and {r.text for r in out} >= {*texts[100:200], ITEM}
+    elif name == "decontaminate":
+        assert Counter(tuple(r) for r in out) == Counter(r for r in rows if r[1] != ITEM)
+    elif name == "pii":
+        key = lambda r: (r[0], *r[2:])
+        assert Counter(map(key, out)) == Counter(map(key, rows)) and not any("a.b@c.org" in str(x) for r in got.collect() for x in r)
+    else:
+        assert Counter(tuple(r) for r in out) == Counter(rows)
+    empty = APPLY[name](frame.limit(0))
+    assert empty.count() == 0 and set(empty.columns) == set(got.columns)
+
+
+def test_fit_is_not_led_by_a_hot_id(spark):
+    """5,000 rows of one id and 50 others: the sample is of ids, and a text for each."""
+    rows = [(1, f"der hund und die katze {k}", "de") for k in range(5000)] + [(k, f"the cat and the dog of number {k}", "en" if k % 2 else "de") for k in range(2, 52)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit(frame, texts_per_lang=10).classes == ["de", "en"]
+    assert language_id.fit(frame.where("doc_id = 1")).classes == ["de"]
+    assert language_id.fit(frame, max_langs=1).classes == ["de"]
+    x, y = quality_rules.training_rows(frame, frame.select("doc_id", (F.col("lang") == "en").cast("int").alias("quality")), 30)
+    held = {r.doc_id for r in frame.where(language_id.held_out()).select("doc_id").collect()}
+    assert len(x) == len(y) == min(30, len({r[0] for r in rows} - held))
+
+
+def test_span_hash_of_structured_texts():
+    """Texts on which sums of powers modulo 2**64 collide (Thue-Morse) have hashes of their own."""
+    a = "a"
+    while len(a) < 4096:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    assert T.hash_of(a.encode()) != T.hash_of(b.encode())
+    base, _ = stats.measure(pa.array([f"{a}\n{b}"]))
+    assert base[0, 3] == 0
