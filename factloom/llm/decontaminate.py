@@ -1,9 +1,9 @@
 """Benchmark decontamination by canonical templates, with DataFrame operations only.
 
 Words of a text become a template: numbers and number words, names, and units after a number are replaced by typed
-placeholders. A name is a given name of a list or any capitalised word; as the case of a copy may differ, windows are also
-made from words in lower case, where only listed names are names. Windows of template words are hashed, at every place of
-items and documents. Pass one hash-joins the documents' windows with the items' windows and keeps the documents that share
+placeholders. A name is a given name of a list or any capitalised word; as the case of a copy may differ, windows of items, and
+of documents in which a quarter of the words is capitalised, are also made from words in lower case, where only listed names
+are names. Windows of template words are hashed, at every place of items and documents. Pass one hash-joins the documents' windows with the items' windows and keeps the documents that share
 one. Pass two looks at every window of those documents, lines the matches up with the item, and checks the slots: along one
 alignment each value of the item must stand for one value of the document and the other way round, as it does when a
 question was re-parameterised and as it does when it was copied.
@@ -28,52 +28,75 @@ _NAMES = sorted({n.lower() for names in GIVEN.values() for n in names})
 _WINDOWS = "array<struct<pos: int, size: int, h: bigint>>"
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _BREAK), lambda t: t != "")
+_SPECIAL = sorted({*_NAMES, *NUMBER_WORDS, *UNITS})
+
+
+def _bound(value: Column, f) -> Column:
+    """f(value) with the value computed once: a column that is named inside of a lambda may be put there as an expression
+    and computed again for each element; a variable of an outer lambda is not."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def _is_number(t: Column) -> Column:
     return (t >= "0") & (t < ":") | t.isin(NUMBER_WORDS)
 
 
-def _template(words: str, lower: str, capitals: bool) -> Column:
-    """Words with placeholders; ``words`` and ``lower`` name columns with the words as they stand and in lower case."""
-
-    def capital(t: Column, i: Column) -> Column:
-        own = F.get(F.col(words), i)
-        return (own != t) & (F.length(t) > 1) & (own == F.initcap(t))
+def _lower_template(w: Column) -> Column:
+    """Words in lower case with placeholders; only listed names are names."""
 
     def one(t: Column, i: Column) -> Column:
-        name = t.isin(_NAMES) | capital(t, i) if capitals else t.isin(_NAMES)
-        return F.when(_is_number(t), NUMBER).when(name, NAME).when(t.isin(UNITS) & (i > 0) & _is_number(F.get(F.col(lower), i - 1)), UNIT).otherwise(t)
+        plain = ~t.isin(_SPECIAL) & ~((t >= "0") & (t < ":"))
+        return F.when(plain, t).when(_is_number(t), NUMBER).when(t.isin(_NAMES), NAME).when((i > 0) & _is_number(F.get(w, i - 1)), UNIT).otherwise(t)
+
+    return F.transform(w, one)
+
+
+def _template(raw: Column, lower: Column) -> Column:
+    """The same with every capitalised word as a name. lower: the template of the words in lower case."""
+
+    def one(r: Column, t: Column) -> Column:
+        return F.when((r >= "a") & (r < "{") | (r < "A"), t).when((F.length(r) > 1) & (r != F.lower(r)) & (r == F.initcap(F.lower(r))), NAME).otherwise(t)
 
-    return F.transform(lower, one)
+    return F.zip_with(raw, lower, one)
 
 
-def _templated(df: DataFrame, text: Column) -> DataFrame:
-    """df with w (words in lower case), t and u (templates with and without capitalised words as names) and ht, hu (their hashes)."""
-    df = df.withColumn("raw", _words(text)).withColumn("w", F.transform("raw", lambda x: F.lower(x)))
-    df = df.withColumn("t", _template("raw", "w", True)).withColumn("u", _template("raw", "w", False))
-    return df.withColumn("ht", F.transform("t", lambda x: F.xxhash64(x))).withColumn("hu", F.transform("u", lambda x: F.xxhash64(x))).drop("raw")
+def _templates(text: Column) -> Column:
+    """struct<w, t, u>: words in lower case, templates with and without capitalised words as names."""
+    raw = F.array_remove(F.split(F.coalesce(text, F.lit("")), _BREAK), "")
 
+    def made(r: Column) -> Column:
+        return _bound(F.transform(r, lambda x: F.lower(x)), lambda w: _bound(_lower_template(w), lambda u: F.struct(w.alias("w"), _template(r, u).alias("t"), u.alias("u"))))
 
-def _windows(hashes: str, size: int) -> Column:
-    """(pos, size, h): windows of ``size`` words at every place; none for fewer words."""
-    n = F.size(hashes) - size
-    at = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(i.alias("pos"), F.lit(size).alias("size"), F.xxhash64(F.slice(F.col(hashes), i + 1, size)).alias("h")))
-    return F.when(n >= 0, at).otherwise(F.array().cast(_WINDOWS))
+    return _bound(raw, made)
 
 
-def _whole(hashes: str) -> Column:
+def _windows(words: Column, size: int, places: bool = True) -> Column:
+    """(pos, size, h), or h alone: windows of ``size`` words at every place; none for fewer words. words: a bound variable."""
+
+    def one(i: Column) -> Column:
+        h = F.xxhash64(F.slice(words, i + 1, size))
+        return F.struct(i.alias("pos"), F.lit(size).alias("size"), h.alias("h")) if places else h
+
+    n = F.size(words) - size
+    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), one)).otherwise(F.array().cast(_WINDOWS if places else "array<bigint>"))
+
+
+def _whole(words: Column, places: bool = True) -> Column:
     """The one window of a text below the shortest window; its hash differs from that of any other window."""
-    n = F.size(hashes)
-    return F.array(F.struct(F.lit(0).alias("pos"), n.alias("size"), F.xxhash64(F.col(hashes), F.lit("whole")).alias("h")))
+    h = F.xxhash64(words, F.lit("whole"))
+    return F.array(F.struct(F.lit(0).alias("pos"), F.size(words).alias("size"), h.alias("h")) if places else h)
+
+
+def _in_text(x: Column, text: Column, sizes: list[int], short: int, places: bool = True) -> Column:
+    """Windows of a text's template, and of the other one if a quarter of the words is capitalised. x: its ``_templates``, bound."""
 
+    def made(words: Column) -> Column:
+        parts = [_windows(words, n, places) for n in sizes]
+        long = F.concat(*parts) if parts else F.array().cast(_WINDOWS if places else "array<bigint>")
+        return F.when(F.size(words) == 0, F.array().cast(_WINDOWS if places else "array<bigint>")).when(F.size(words) < short, _whole(words, places)).otherwise(long)
 
-def _text_windows(size: int) -> Column:
-    """Windows of both templates; those of the second only where they differ."""
-    first, second = _windows("ht", size), _windows("hu", size)
-    return F.when(F.col("ht") == F.col("hu"), first).otherwise(F.concat(first, F.filter(second, lambda x, i: x["h"] != F.xxhash64(F.slice(F.col("ht"), i + 1, size)))))
+    heavy = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\p{Lu}\p{Ll}")) * 4 > F.size(x["t"])
+    return F.when(heavy, F.concat(_bound(x["t"], made), _bound(x["u"], made))).otherwise(_bound(x["t"], made))
 
 
 def contaminated(
@@ -91,12 +114,12 @@ def contaminated(
     """
     key = row_key(id_col, text_col)
     short = min(SHORT, window)
-    items = _templated(benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").alias("x")), F.col("x")).where(F.size("w") > 0)
+    items = benchmark.select(F.col(f"`{item_col}`").alias("item"), _templates(F.col(f"`{item_text_col}`")).alias("x")).select("item", "x.*").where(F.size("w") > 0)
 
-    def of_item(hashes: str) -> Column:
-        return F.when(F.size("w") >= window, _windows(hashes, window)).when(F.size("w") >= short, _windows(hashes, short)).otherwise(_whole(hashes))
+    def of_item(words: Column) -> Column:
+        return _bound(words, lambda a: F.when(F.size(a) >= window, _windows(a, window)).when(F.size(a) >= short, _windows(a, short)).otherwise(_whole(a)))
 
-    parts = [items.select("item", "w", F.col(shape).alias("shape"), F.inline(of_item(hashes))) for shape, hashes in (("t", "ht"), ("u", "hu"))]
+    parts = [items.select("item", "w", F.col(shape).alias("shape"), F.inline(of_item(F.col(shape)))) for shape in ("t", "u")]
     entries = parts[0].union(parts[1]).withColumnRenamed("pos", "ipos")
     raw, shape = F.slice("w", F.col("ipos") + 1, F.col("size")), F.slice("shape", F.col("ipos") + 1, F.col("size"))
     entries = entries.select("item", "ipos", "size", "h", raw.alias("iraw"), shape.alias("ishape"))
@@ -111,15 +134,14 @@ def contaminated(
     rare = cut(entries.join(ranked.where(F.col("rank") <= F.col("item_windows") - needed + 1).select("item", "ipos"), ["item", "ipos"], "left_semi").select("item", "h"))
 
     sizes = {r["size"] for r in entries.select("size").distinct().collect()}  # window, SHORT and what is below: a few values
-    in_text = F.concat(*[_text_windows(n) for n in sorted({window, short} & sizes)]) if {window, short} & sizes else F.array().cast(_WINDOWS)
-    in_text = F.when(F.size("w") < short, F.array_union(_whole("ht"), _whole("hu"))).otherwise(in_text)
-    least = 1 if min(sizes, default=short) < short else min(sizes, default=1)
-    words = _templated(docs.select(key.alias("k"), F.col(f"`{text_col}`").alias("x")), F.col("x")).where(F.size("w") >= least)
-    hashed = words.select("k", F.explode(F.transform(in_text, lambda x: x["h"])).alias("h"))
+    long = sorted({window, short} & sizes)
+    text = F.col(f"`{text_col}`")
+    hashed = docs.select(key.alias("k"), F.explode(_bound(_templates(text), lambda x: _in_text(x, text, long, short, places=False))).alias("h"))
     found = cut(hashed.join(rare.select("h").distinct(), "h", "left_semi").select("k").distinct())
 
-    near = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("k"), F.col(f"`{text_col}`").alias("x")).join(found, "k", "left_semi").dropDuplicates(["k"])
-    at = _templated(near, F.col("x")).select("id", "k", "w", F.inline(in_text))
+    near = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("k"), text.alias("text")).join(found, "k", "left_semi").dropDuplicates(["k"])
+    made = _bound(_templates(F.col("text")), lambda x: F.struct(x["w"].alias("w"), _in_text(x, F.col("text"), long, short).alias("windows")))
+    at = near.select("id", "k", made.alias("m")).select("id", "k", F.col("m.w").alias("w"), F.inline("m.windows"))
     at = cut(at.select("id", "k", "pos", "h", F.slice("w", F.col("pos") + 1, F.col("size")).alias("raw")).join(entries.select("h").distinct(), "h", "left_semi"))
     pairs = at.select("k", "h").join(rare, "h").select("k", "item").distinct()
     hits = pairs.join(entries, "item").join(at, ["k", "h"]).select("id", "k", "item", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "raw", "iraw", "ishape")

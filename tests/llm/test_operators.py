@@ -257,7 +257,7 @@ def test_conversations_equal_brute_force(spark):
     want = defaultdict(list)
     for r in sorted(frame.collect(), key=lambda r: (r.conv_id, r.turn is not None, r.turn or 0)):
         want[r.conv_id, (r.turn or 0) // 1024] += [(i, r.role == "assistant") for i in [*tok.encode(r.text or "", add_special_tokens=False).ids, 0]]
-    limits = packing.Limits(4096, 6, 1500)
+    limits = packing.Limits(4096, 4, 3200)
     rows = packing.pack_conversations(frame, limits=limits).collect()
     got, seqs = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -273,8 +273,8 @@ def test_conversations_equal_brute_force(spark):
         if len(want[k]) <= limits.tokens and sum(x for _, x in want[k]) <= limits.loss:
             assert len(parts) == 1
     full = [(sum(r.length for r in s), len(s), sum(r.loss_tokens for r in s)) for s in seqs.values()]
-    assert all(t <= 4096 and n <= 6 and x <= 1500 for t, n, x in full)
-    assert any(t > 3600 for t, _, _ in full) and any(n == 6 for _, n, _ in full) and any(x > 1350 for _, _, x in full)
+    assert all(t <= 4096 and n <= 4 and x <= 3200 for t, n, x in full)
+    assert any(t > 3600 for t, _, _ in full) and any(n == 4 for _, n, _ in full) and any(x > 2900 for _, _, x in full)
 
 
 def brute_pack(sizes, limits, pool_size):
