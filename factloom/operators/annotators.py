@@ -43,13 +43,26 @@ def annotate(docs: DataFrame, build: Callable[[], Callable[[pd.DataFrame], pd.Da
 
 
 def pipe(docs: DataFrame, command: list[str], id_col: str = "doc_id", text_col: str = "text", timeout: int = 600) -> DataFrame:
-    """(id_col, status int, output string): a program gets each text on its input. A null text counts as empty."""
+    """(id_col, status int, output string): a program gets each text on its input. A null text counts as empty.
+
+    A program that takes over ``timeout`` seconds is ended and has status -1, one that can't be started -2, both without output;
+    neither ends the task.
+    """
+
+    def answer(text: str | None) -> tuple[int, str]:
+        try:
+            p = subprocess.run(command, input=(text or "").encode(), capture_output=True, timeout=timeout)
+        except subprocess.TimeoutExpired:
+            return -1, ""
+        except OSError:
+            return -2, ""
+        return p.returncode, p.stdout.decode(errors="replace")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                p = subprocess.run(command, input=(text or "").encode(), capture_output=True, timeout=timeout)
-                yield pa.RecordBatch.from_pydict({id_col: pa.array([i], b.schema.field(0).type), "status": pa.array([p.returncode], pa.int32()), "output": [p.stdout.decode(errors="replace")]})
+                status, output = answer(text)
+                yield pa.RecordBatch.from_pydict({id_col: pa.array([i], b.schema.field(0).type), "status": pa.array([status], pa.int32()), "output": [output]})
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, status INT, output STRING")

@@ -14,12 +14,13 @@ def pair_classes(df: DataFrame, group: str) -> DataFrame:
     return s.select(F.col("intra").cast("long").alias("intra"), (F.col("t") * (F.col("t") - 1) / 2 - F.col("intra")).cast("long").alias("inter"))
 
 
-def sampled_pairs(df: DataFrame, item: str, group: str, partners: int, buckets: int = 64) -> DataFrame:
+def sampled_pairs(df: DataFrame, item: str, group: str, partners: int, buckets: int = 64, key: Column | None = None) -> DataFrame:
     """(a, b, same): each item with ``partners`` others by a ring over a hashed order in salted buckets, so that pairs are as
-    random as the hash and their number grows with the items, not with their square. Take a bucket for each million items."""
+    random as the hash and their number grows with the items, not with their square. Take a bucket for each million items.
+    key: the hash, XXH64 of the item unless given."""
     from pyspark.sql import Window as W
 
-    h = df.select(F.col(item).alias("a"), F.col(group).alias("g"), F.xxhash64(F.lit(1), item).alias("h"))
+    h = df.select(F.col(item).alias("a"), F.col(group).alias("g"), (F.xxhash64(F.lit(1), item) if key is None else key).alias("h"))
     w = W.partitionBy(F.pmod("h", F.lit(buckets))).orderBy("h", "a")
     leads = [F.struct(F.lead("a", k).over(w).alias("b"), F.lead("g", k).over(w).alias("gb")) for k in range(1, partners + 1)]
     return h.select("a", "g", F.array(*leads).alias("_o")).select("a", "g", F.explode("_o").alias("o")).where("o.b IS NOT NULL").select("a", F.col("o.b").alias("b"), (F.col("g") == F.col("o.gb")).alias("same"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from factloom.operators.selection import first_by, top_by
-from factloom.sources.checkpoints import bounded
+from factloom.sources.checkpoints import bounded, cut
 
 
 def doubles(v: str) -> Column:
@@ -48,17 +48,33 @@ def average(df: DataFrame, keys: list[str], vector: str, weight: str | None = No
     return means.groupBy(*keys).agg(F.transform(ordered, lambda s: s["_m"]).alias(name))
 
 
-def scored(queries: DataFrame, items: DataFrame, query_id: str, item_id: str, vector: str) -> DataFrame:
-    """(query_id, item_id, score): cosine of every query with every item but itself. Vectors are made units once."""
-    q = queries.select(F.col(query_id).alias("query"), unit(doubles(vector)).alias("_q"))
-    i = items.select(F.col(item_id).alias("item"), unit(doubles(vector)).alias("_i"))
-    return q.join(i, F.col("query") != F.col("item")).select("query", "item", dot(F.col("_q"), F.col("_i")).alias("score"))
+#: Rows of a block of a tile join, and of a table of centroids that is broadcast.
+BLOCK, BROADCAST = 5_000, 10_000
+
+
+def blocks_of(df: DataFrame, rows: int = BLOCK) -> int:
+    """How many blocks of so many rows the table makes."""
+    return max(1, -(-df.count() // rows))
+
+
+def scored(queries: DataFrame, items: DataFrame, query_id: str, item_id: str, vector: str, rows: int = BLOCK) -> DataFrame:
+    """(query, item, block, score): cosine of every query of a stated set with every item but itself. Vectors are made units once.
+
+    A tile join on blocks of items, to each of which the queries go: no product, nothing is broadcast, and a task holds a
+    block and the queries, whatever the size of the table.
+    """
+    n = blocks_of(items, rows)
+    q = queries.select(F.col(query_id).alias("query"), unit(doubles(vector)).alias("_q"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"))
+    i = items.select(F.col(item_id).alias("item"), unit(doubles(vector)).alias("_i"), F.pmod(F.xxhash64(item_id), F.lit(n)).cast("int").alias("block"))
+    return q.join(i, "block").where("query != item").select("query", "item", "block", dot(F.col("_q"), F.col("_i")).alias("score"))
 
 
 def top_neighbours(queries: DataFrame, items: DataFrame, query_id: str, item_id: str, vector: str, k: int) -> DataFrame:
     """The k items of the largest cosine for each query of a stated query set, with ranks; ties by the smaller item."""
     s = scored(queries, items, query_id, item_id, vector).withColumn("score", F.round("score", 6))
-    return top_by(s, ["query"], [F.col("score").desc(), F.col("item")], k)
+    order = [F.col("score").desc(), F.col("item")]
+    # The k best of each block first, so that a query sends k rows a block to the last ranking.
+    return top_by(top_by(s, ["query", "block"], order, k).drop("rank", "block"), ["query"], order, k)
 
 
 def sign_bands(df: DataFrame, item_id: str, vector: str, bands: int, width: int) -> DataFrame:
@@ -69,9 +85,10 @@ def sign_bands(df: DataFrame, item_id: str, vector: str, bands: int, width: int)
     return df.select(F.col(item_id).alias("item"), F.inline(F.array(*parts)))
 
 
-def threshold_pairs(df: DataFrame, item_id: str, vector: str, least: float, blocks: int = 8) -> DataFrame:
-    """(a, b, score) with a < b and cosine at least ``least``: an exact tile join. Each pair of blocks is a task's work of
-    its own, so no task sees all pairs and nothing is broadcast."""
+def threshold_pairs(df: DataFrame, item_id: str, vector: str, least: float, rows: int = BLOCK) -> DataFrame:
+    """(a, b, score) with a < b and cosine at least ``least``: an exact tile join. Each pair of blocks of ``rows`` rows is a
+    task's work of its own, so no task sees all pairs and nothing is broadcast."""
+    blocks = max(4, blocks_of(df, rows))
     v = df.select(F.col(item_id).alias("id"), unit(doubles(vector)).alias("v"), F.pmod(F.xxhash64(item_id), F.lit(blocks)).cast("int").alias("g"))
     tile = lambda me: F.explode(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), me))
     a = v.select(F.col("id").alias("a"), F.col("v").alias("va"), tile(lambda o: F.col("g") * blocks + o).alias("tile"))
@@ -97,10 +114,31 @@ def group_sums(df: DataFrame, group: str, vector: str) -> DataFrame:
 
 
 def nearest_centroids(df: DataFrame, item_id: str, vector: str, centroids: DataFrame, label: str, k: int) -> DataFrame:
-    """The k labels of the largest cosine for each row. ``centroids`` (label, centroid) is broadcast if it is counted to be small."""
+    """The k labels of the largest cosine for each row. ``centroids`` (label, centroid) is broadcast if it is counted to be
+    small; beyond that rows go to each block of centroids, whose k best are ranked first."""
     i = df.select(F.col(item_id).alias("item"), doubles(vector).alias("v"))
-    s = i.crossJoin(bounded(centroids)).select("item", label, F.round(cosine(F.col("v"), F.col("centroid")), 6).alias("score"))
-    return top_by(s, ["item"], [F.col("score").desc(), label], k)
+    centroids, order = cut(centroids), [F.col("score").desc(), F.col(label)]
+    score = F.round(cosine(F.col("v"), F.col("centroid")), 6).alias("score")
+    n = blocks_of(centroids, BROADCAST)
+    if n == 1:
+        return top_by(i.crossJoin(F.broadcast(centroids)).select("item", label, score), ["item"], order, k)
+    tiles = i.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(centroids.withColumn("block", F.pmod(F.xxhash64(label), F.lit(n)).cast("int")), "block")
+    best = top_by(tiles.select("item", label, "block", score), ["item", "block"], order, k).drop("rank", "block")
+    return top_by(best, ["item"], order, k)
+
+
+def best_seed_set(df: DataFrame, item_id: str, label: str, vector: str) -> DataFrame:
+    """(item, label, score): the label whose members have the highest mean cosine to the item, without the item itself.
+
+    The mean against a label's members follows from the sum of their units, so no pairs are made.
+    """
+    u = df.select(F.col(item_id).alias("item"), F.col(label).alias("_own"), unit(doubles(vector)).alias("_u"))
+    sets = average(u, ["_own"], "_u", name="_c").join(u.groupBy("_own").agg(F.count("*").alias("_n")), "_own").withColumnRenamed("_own", label)
+    both = u.join(bounded(sets))  # a row for each label
+    own = (F.col("_own") == F.col(label)).cast("int")
+    mean = (F.col("_n") * dot(F.col("_u"), F.col("_c")) - own) / (F.col("_n") - own)
+    scored_ = both.where(F.col("_n") > own).select("item", label, F.round(mean, 6).alias("score"))
+    return first_by(scored_, ["item"], [F.col("score").desc(), label])
 
 
 def weighted_match(parts: list[tuple[DataFrame, float]], limit: float) -> DataFrame:

@@ -10,33 +10,32 @@ from factloom.plans.graph_queries import triples
 from factloom.plans.registry import query
 from factloom.sources.tables import table
 
-_E = "WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), n AS (SELECT vec_id AS node, v FROM e WHERE vec_id % 25 = 0)"
+_E = "WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"
 
 
-def _nodes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", V.doubles("embedding").alias("v"))
-    return e, e.where("vec_id % 25 = 0")
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", V.doubles("embedding").alias("v"))
 
 
-@query(_E + " SELECT label, round(avg(best), 6) AS novelty FROM (SELECT e.vec_id, e.label, max(round(list_cosine_similarity(e.v, n.v), 6)) AS best FROM e, n WHERE e.vec_id <> n.node GROUP BY ALL) GROUP BY 1")
+@query(_E + """ , c AS (SELECT label AS node, list(m ORDER BY d) AS v FROM (SELECT label, d, avg(x) AS m FROM (SELECT label, unnest(v) AS x, unnest(range(1, 65)) AS d FROM e) GROUP BY ALL) GROUP BY label)
+    SELECT label, round(avg(best), 5) AS novelty FROM (SELECT e.vec_id, e.label, max(round(list_cosine_similarity(e.v, c.v), 6)) AS best FROM e, c WHERE e.label <> c.node GROUP BY ALL) GROUP BY 1""")
 def novelty_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Highest similarity of each member to any node of an ontology, averaged by cluster."""
-    e, nodes = _nodes(spark, sf_dir)
-    best = V.scored(nodes, e, "vec_id", "vec_id", "v").groupBy("item").agg(F.max(F.round("score", 6)).alias("best"))
-    return best.join(e.select(F.col("vec_id").alias("item"), "label"), "item").groupBy("label").agg(F.round(F.avg("best"), 6).alias("novelty"))
+    """Highest similarity of each member to any node of an ontology (the centroids of the other clusters), averaged by cluster."""
+    e = _vectors(spark, sf_dir)
+    nodes = V.average(e, ["label"], "v").withColumnRenamed("label", "node")
+    near = V.nearest_centroids(e, "vec_id", "v", nodes, "node", 2).withColumnRenamed("item", "vec_id").join(e.select("vec_id", "label"), "vec_id")
+    best = near.where("node <> label").groupBy("vec_id", "label").agg(F.max("score").alias("best"))
+    return best.groupBy("label").agg(F.round(F.avg("best"), 5).alias("novelty"))
 
 
 @query(_E + """
     SELECT item, label, score FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, label) AS r FROM (
-      SELECT e.vec_id AS item, s.label, round(avg(list_cosine_similarity(e.v, s.v)), 6) AS score FROM e JOIN e s ON s.vec_id % 10 = 0 AND s.vec_id <> e.vec_id GROUP BY ALL)) WHERE r = 1
+      SELECT e.vec_id AS item, s.label, round(avg(list_cosine_similarity(e.v, s.v)), 6) AS score FROM e JOIN e s ON s.vec_id <> e.vec_id GROUP BY ALL)) WHERE r = 1
 """)
 def seed_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The seed set with the highest mean similarity."""
-    e, _ = _nodes(spark, sf_dir)
-    seeds = e.where("vec_id % 10 = 0")
-    s = V.scored(seeds, e, "vec_id", "vec_id", "v").join(seeds.select(F.col("vec_id").alias("query"), "label"), "query")
-    mean = s.groupBy("item", "label").agg(F.round(F.avg("score"), 6).alias("score"))
-    return selection.first_by(mean, ["item"], [F.col("score").desc(), "label"]).select("item", "label", "score")
+    """The seed set (all members of a label) with the highest mean similarity to an item, the item itself left out."""
+    best = V.best_seed_set(_vectors(spark, sf_dir), "vec_id", "label", "v")
+    return best.select("item", "label", "score")
 
 
 @query("SELECT doc_id FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE lang = 'en') WHERE NOT len(list_filter(w, lambda x: x IN ('the', 'of', 'and'))) > 0.25 * len(w) AND NOT len(list_filter(w, lambda x: length(x) <= 3)) > 0.5 * len(w)")

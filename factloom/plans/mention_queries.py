@@ -169,12 +169,12 @@ def relation_frame_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH RECURSIVE t AS (SELECT n::BIGINT AS n, (n // 3)::BIGINT AS p FROM (SELECT unnest(range(1, 300)) AS n)), a AS (SELECT n, p AS up, 1 AS d FROM t UNION ALL SELECT a.n, t.p, d + 1 FROM a JOIN t ON a.up = t.n WHERE d < 3)
+    WITH RECURSIVE t AS (SELECT p_partkey AS n, p_partkey // 3 AS p FROM part WHERE p_partkey > 0), a AS (SELECT n, p AS up, 1 AS d FROM t UNION ALL SELECT a.n, t.p, d + 1 FROM a JOIN t ON a.up = t.n WHERE d < 3)
     SELECT n, string_agg(concat('c', up), '>' ORDER BY d) AS path FROM a WHERE up > 0 GROUP BY n
 """)
 def modal_tree_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of a node's ancestors up to three levels."""
-    t = spark.range(1, 300).select(F.col("id").alias("n"), F.floor(F.col("id") / 3).alias("p"), F.concat(F.lit("c"), "id").alias("l"))
+    t = table(spark, sf_dir, "part").where("p_partkey > 0").selectExpr("p_partkey AS n", "p_partkey div 3 AS p", "concat('c', p_partkey) AS l")
     return M.ancestors(t, "n", "p", "l", 3).select("n", F.array_join("labels", ">").alias("path"))
 
 
@@ -237,10 +237,15 @@ def pair_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.pair_classes(table(spark, sf_dir, "embeddings"), "label")
 
 
-@query()
+@query("""
+    WITH h AS (SELECT vec_id AS a, label AS g, (vec_id * 2654435761) % 4294967291 AS h FROM embeddings),
+    p AS (SELECT a, g, unnest([lead(a, 1) OVER w, lead(a, 2) OVER w, lead(a, 3) OVER w, lead(a, 4) OVER w, lead(a, 5) OVER w]) AS b,
+      unnest([lead(g, 1) OVER w, lead(g, 2) OVER w, lead(g, 3) OVER w, lead(g, 4) OVER w, lead(g, 5) OVER w]) AS gb FROM h WINDOW w AS (PARTITION BY h % 64 ORDER BY h, a))
+    SELECT a, b, g = gb AS same FROM p WHERE b IS NOT NULL
+""")
 def sampled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs for metric learning; their number is checked in the tests."""
-    return learning.sampled_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "label", 5)
+    """Pairs for metric learning, five for each item."""
+    return learning.sampled_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "label", 5, key=(F.col("vec_id") * 2654435761) % 4294967291)
 
 
 @query("SELECT index, p_type AS name FROM (SELECT p_type, row_number() OVER (ORDER BY p_type) AS index FROM (SELECT DISTINCT p_type FROM part))")
@@ -259,21 +264,22 @@ def feature_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH RECURSIVE t AS (SELECT n::BIGINT AS n, (n // 2)::BIGINT AS p FROM (SELECT unnest(range(2, 64)) AS n)),
-    c AS (SELECT n AS child, n AS ancestor, 0 AS d FROM (SELECT unnest(range(1, 64))::BIGINT AS n) UNION ALL SELECT child, p, d + 1 FROM c JOIN t ON c.ancestor = t.n),
-    h AS (SELECT n, (floor(log2(n)) + 1)::BIGINT AS depth FROM (SELECT unnest(range(1, 64))::BIGINT AS n))
+    WITH RECURSIVE x AS (SELECT s_suppkey + 1 AS n FROM supplier), t AS (SELECT n, n // 2 AS p FROM x WHERE n > 1),
+    c AS (SELECT n AS child, n AS ancestor, 0 AS d FROM x UNION ALL SELECT child, p, d + 1 FROM c JOIN t ON c.ancestor = t.n),
+    h AS (SELECT n, (floor(log2(n)) + 1)::BIGINT AS depth FROM x)
     SELECT a.child AS a, b.child AS b, round(max(2.0 * depth / (a.d + b.d + 2 * depth)), 6) AS similarity FROM c a JOIN c b ON a.ancestor = b.ancestor AND b.child = a.child + 5 JOIN h ON h.n = a.ancestor GROUP BY ALL
 """)
 def wu_palmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity in a class tree by the deepest common ancestor."""
     from factloom.operators import graph
 
-    n = spark.range(1, 64)
-    edges = spark.range(2, 64).select(F.col("id").alias("n"), F.floor(F.col("id") / 2).alias("p"))
+    n = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 1).alias("id"))
+    edges = n.where("id > 1").selectExpr("id AS n", "id div 2 AS p")
+    levels = (n.agg(F.max("id")).first()[0] or 1).bit_length()
     own = n.select(F.col("id").alias("child"), F.col("id").alias("ancestor"), F.lit(0).alias("distance"))
-    closed = graph.closure(edges, "n", "p", 6).union(own)
+    closed = graph.closure(edges, "n", "p", levels).union(own)
     depth = n.select(F.col("id").alias("node"), (F.floor(F.log2("id")) + 1).alias("depth"))
-    pairs = n.select(F.col("id").alias("a"), (F.col("id") + 5).alias("b")).where("b < 64")
+    pairs = n.select(F.col("id").alias("a"), (F.col("id") + 5).alias("b")).join(n.select(F.col("id").alias("b")), "b", "left_semi")
     return learning.wu_palmer_pairs(pairs, closed, depth, "a", "b").select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 

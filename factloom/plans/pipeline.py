@@ -60,6 +60,12 @@ class KnowledgeBase:
         return replace(self, tables=t)
 
 
+def strip_events(kb: KnowledgeBase) -> KnowledgeBase:
+    """Without the event layer: events, their mentions, arguments, groundings, groups and relations are emptied."""
+    layer = ("events", "event_mentions", "event_arguments", "groundings", "event_groups", "relations", "relation_mentions")
+    return kb.put(**{name: df.limit(0) for name, df in kb.tables.items() if name in layer})
+
+
 Resolver = Callable[..., KnowledgeBase]
 RESOLVERS: dict[str, Resolver] = {}
 

@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return put
 
 
-from factloom.plans import document_queries, retrieval_queries, mention_queries, discovery_queries, resolver_queries, vector_queries, graph_queries, timeline_queries, sink_queries, syntax_queries, report_queries  # noqa: E402, F401
+from factloom.plans import document_queries, retrieval_queries, mention_queries, discovery_queries, resolver_queries, vector_queries, graph_queries, timeline_queries, sink_queries, syntax_queries, report_queries, rule_queries, search_queries  # noqa: E402, F401

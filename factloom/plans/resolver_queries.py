@@ -252,11 +252,12 @@ def keyword_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, round(value / 200 * CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 0.75 ELSE 0.5 END * CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0.75 END, 6) AS score FROM events
+    SELECT event_id, value * CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'click' THEN 0.75 ELSE 0.5 END::DOUBLE * CASE WHEN user_id % 2 = 0 THEN 1.0 ELSE 0.75 END::DOUBLE AS score FROM events
 """)
 def calibrate_args(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "purchase", "name").when(F.col("event_type") == "click", "desc").otherwise("other")
-    return table(spark, sf_dir, "events").select("event_id", F.round(scores.argument_score(F.col("value") / 200, kind, F.col("user_id") % 2 == 0), 6).alias("score"))
+    # Unrounded: products of a double and quarters are the same doubles in any engine, rounded ones differ at ties.
+    return table(spark, sf_dir, "events").select("event_id", scores.argument_score(F.col("value"), kind, F.col("user_id") % 2 == 0).alias("score"))
 
 
 @query("SELECT event_id, nearest_id, gap FROM (SELECT a.event_id, b.event_id AS nearest_id, abs(floor(epoch(a.ts))::BIGINT - floor(epoch(b.ts))::BIGINT) AS gap, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(floor(epoch(a.ts))::BIGINT - floor(epoch(b.ts))::BIGINT), b.event_id) AS r FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'purchase' AND b.event_type = 'view' WHERE abs(floor(epoch(a.ts))::BIGINT - floor(epoch(b.ts))::BIGINT) <= 3600) WHERE r = 1")

@@ -110,12 +110,13 @@ def nmi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hit_at_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of vectors whose own label is among the nearest n centroids."""
     gold = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("item"), "label")
-    hits = _near(spark, sf_dir, 64).join(gold, ["item", "label"]).select("item", "rank", F.explode(F.array(*[F.lit(n) for n in (1, 2, 3, 5)])).alias("top"))
+    labels = table(spark, sf_dir, "embeddings").select("label").distinct().count()
+    hits = _near(spark, sf_dir, labels).join(gold, ["item", "label"]).select("item", "rank", F.explode(F.array(*[F.lit(n) for n in (1, 2, 3, 5)])).alias("top"))
     return hits.groupBy("top").agg(F.round(F.avg((F.col("rank") <= F.col("top")).cast("double")), 6).alias("share"))
 
 
 @query(_E + """
-    , u2 AS (SELECT *, v[1:32] AS f1, v[33:64] AS f2 FROM e), q AS (SELECT * FROM u2 WHERE vec_id % 50 = 0),
+    , u2 AS (SELECT *, v[1:32] AS f1, v[33:64] AS f2 FROM e), q AS (SELECT * FROM u2 WHERE vec_id % 20 = 0),
     d AS (SELECT q.vec_id AS query, i.vec_id AS item, 1 - list_cosine_similarity(q.f1, i.f1) AS d1, (1 - list_cosine_similarity(q.f2, i.f2)) * 0.5 AS d2 FROM q, u2 i WHERE q.vec_id <> i.vec_id)
     SELECT query, item, round(d1 + d2, 6) AS distance FROM d WHERE d1 < 0.6 AND d2 < 0.6
 """)
@@ -125,7 +126,7 @@ def weighted_multi_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for k, weight in ((0, 1.0), (1, 0.5)):
         half = e.select("vec_id", F.slice(V.doubles("v"), 32 * k + 1, 32).alias("h"))
-        s = V.scored(half.where("vec_id % 50 = 0"), half, "vec_id", "vec_id", "h")
+        s = V.scored(half.where("vec_id % 20 = 0"), half, "vec_id", "vec_id", "h")
         parts.append((s.select("query", "item", (1 - F.col("score")).alias("distance")), weight))
     return V.weighted_match(parts, 0.6).select("query", "item", F.round("distance", 6).alias("distance"))
 
