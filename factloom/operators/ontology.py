@@ -121,3 +121,43 @@ def verify(triples: DataFrame, object_properties: DataFrame, datatype_properties
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.groupBy("check", "p").agg(F.count("*").alias("n"))
+
+
+def _near(a: Column, b: Column) -> Column:
+    """Cosine, not below zero; zero where a vector is missing."""
+    return F.when(a.isNull() | b.isNull(), 0.0).otherwise(F.greatest(V.cosine(a, b), F.lit(0.0)))
+
+
+def similarity(mode: str) -> Column:
+    """The score of a mention and a node by a mode, over columns with vectors (null: missing).
+
+    text, participants, processes, properties, context: of the mention. node_name, node_exemplars (array of vectors),
+    node_average, node_participants, node_processes, node_properties, node_context: of the node.
+    """
+    c = F.col
+    if mode == "exemplars_max":
+        return F.greatest(F.lit(0.0), F.coalesce(F.array_max(F.transform("node_exemplars", lambda x: V.cosine(c("text"), x))), F.lit(0.0)))
+    if mode == "exemplars_average":
+        return _near(c("text"), c("node_average"))
+    if mode == "type_name":
+        return _near(c("text"), c("node_name"))
+    if mode == "keywords_average":
+        kinds = ("participants", "processes", "properties")
+        total = sum((_near(c(k), c(f"node_{k}")) for k in kinds), F.lit(0.0))
+        given = sum((c(k).isNotNull().cast("int") for k in kinds), F.lit(0))
+        return F.when(given == 0, 0.0).otherwise(total / given)
+    if mode == "context_average":
+        return _near(c("context"), c("node_context"))
+    raise NotImplementedError(f"no similarity by {mode}")
+
+
+#: The modes that have a definition.
+MODES = ("exemplars_max", "exemplars_average", "type_name", "keywords_average", "context_average")
+
+
+def best_by_mode(mentions: DataFrame, nodes: DataFrame, modes: tuple[str, ...] = MODES) -> DataFrame:
+    """(mention, mode, node, score): each mention's best node by every mode; ties by the smaller node. nodes is an ontology's."""
+    both = mentions.join(V.bounded(nodes))
+    scores = F.array(*[F.struct(F.lit(m).alias("mode"), F.round(similarity(m), 6).alias("score")) for m in modes])
+    s = both.select("mention", "node", F.inline(scores))
+    return top_by(s, ["mention", "mode"], [F.col("score").desc(), "node"], 1).select("mention", "mode", "node", "score")

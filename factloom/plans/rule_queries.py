@@ -293,3 +293,24 @@ def actors_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = entities.where("kind IN ('SEED', 'FOOD')").select("sent", F.col("start").alias("pos"), F.when(F.col("kind") == "SEED", "'s").otherwise("against").alias("token"))
     none = spark.createDataFrame([], "mention long, role string, entity long")
     return E.actor_arguments(events, entities.where("kind IN ('PER', 'MONEY')"), none, tokens)
+
+
+_COS = "(CASE WHEN {ok} THEN greatest(list_cosine_similarity({a}, {b}), 0.0) ELSE 0.0 END)"
+
+
+@query(_E + _C + f""", m AS (SELECT vec_id, v[1:16] AS text, v[17:32] AS pa, v[33:48] AS pr, v[49:64] AS po, v AS cx FROM e),
+    n AS (SELECT label, centroid[1:16] AS nm, centroid[17:32] AS e2, list_transform(range(1, 17), lambda i: (centroid[i] + centroid[i + 16]) / 2) AS av, centroid[33:48] AS np, centroid[49:64] AS no, centroid AS nc FROM c),
+    s AS (SELECT vec_id AS mention, label AS node, unnest(['exemplars_max', 'exemplars_average', 'type_name', 'keywords_average', 'context_average']) AS mode, unnest([
+      greatest(0.0, list_cosine_similarity(text, nm), list_cosine_similarity(text, e2)), {_COS.format(ok="true", a="text", b="av")}, {_COS.format(ok="true", a="text", b="nm")},
+      ({_COS.format(ok="vec_id % 3 <> 0", a="pa", b="e2")} + {_COS.format(ok="vec_id % 4 <> 0", a="pr", b="np")} + {_COS.format(ok="true", a="po", b="no")}) / ((vec_id % 3 <> 0)::INTEGER + (vec_id % 4 <> 0)::INTEGER + 1), {_COS.format(ok="vec_id % 5 <> 0", a="cx", b="nc")}]) AS score FROM m, n)
+    SELECT mention, mode, node, score FROM (SELECT mention, mode, node, round(score, 6) AS score, row_number() OVER (PARTITION BY mention, mode ORDER BY round(score, 6) DESC, node) AS r FROM s) WHERE r = 1""")
+def similarity_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best node of each mention by every similarity mode; parts of the vectors stand for names, participants and so on."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", V.doubles("embedding").alias("v"))
+    part = lambda c, k: F.slice(F.col(c), 16 * k + 1, 16)
+    keep = lambda n, c: F.when(F.col("vec_id") % n != 0, c)
+    m = e.select(F.col("vec_id").alias("mention"), part("v", 0).alias("text"), keep(3, part("v", 1)).alias("participants"), keep(4, part("v", 2)).alias("processes"), part("v", 3).alias("properties"), keep(5, F.col("v")).alias("context"))
+    c = V.average(e, ["label"], "v", name="c")
+    mean = F.zip_with(part("c", 0), part("c", 1), lambda a, b: (a + b) / 2)
+    n = c.select(F.col("label").alias("node"), part("c", 0).alias("node_name"), F.array(part("c", 0), part("c", 1)).alias("node_exemplars"), mean.alias("node_average"), part("c", 1).alias("node_participants"), part("c", 2).alias("node_processes"), part("c", 3).alias("node_properties"), F.col("c").alias("node_context"))
+    return O.best_by_mode(m, n)

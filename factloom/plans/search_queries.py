@@ -207,3 +207,13 @@ def delivered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered documents as a stream, polled until all are seen, counted by source."""
     d = minibatch.run_once(spark, f"{sf_dir}/documents.parquet", ["doc_id"])
     return d.groupBy("source").agg(F.count("*").alias("delivered"), F.sum("n_chars").alias("chars"))
+
+
+_B = _E + ", b AS (SELECT vec_id, k AS band, array_to_string(list_transform(v[k * 8 + 1 : k * 8 + 8], lambda x: CASE WHEN x >= 0 THEN '1' ELSE '0' END), '') AS value FROM e, (SELECT unnest(range(0, 4))::INTEGER AS k))"
+
+
+@query(_B + """, c AS (SELECT a.vec_id AS q, count(DISTINCT b.vec_id) AS n FROM b a JOIN b ON a.band = b.band AND a.value = b.value AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 GROUP BY 1)
+    SELECT count(*) AS queries, round(1 - sum(coalesce(n, 0)) / (count(*) * ((SELECT count(*) FROM e) - 1)), 6) AS savings FROM (SELECT vec_id FROM e WHERE vec_id % 20 = 0) LEFT JOIN c ON q = vec_id""")
+def index_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of comparisons that an inverted index of sign bits saves, over every twentieth vector as a query."""
+    return S.index_savings(_vectors(spark, sf_dir), F.col("vec_id") % 20 == 0, "vec_id", "v", 4, 8)
