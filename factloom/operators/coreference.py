@@ -35,3 +35,31 @@ def indicators(between: Column, lists: dict[str, list[str]]) -> Column:
     """A struct of booleans: does the text between two spans have a phrase of the list, as whole words."""
     any_of = lambda ps: between.rlike(r"(?i)(^|[^A-Za-z])(" + "|".join(ps) + r")([^A-Za-z]|$)")
     return F.struct(*[any_of(ps).alias(k) for k, ps in lists.items()])
+
+
+def compatible_strings(a: Column, b: Column) -> Column:
+    """Equal without case, or all words of the one are words of the other."""
+    wa, wb = (F.array_distinct(F.split(F.lower(x), r"\s+")) for x in (a, b))
+    return (F.size(F.array_except(wa, wb)) == 0) | (F.size(F.array_except(wb, wa)) == 0)
+
+
+def argument_conflicts(pairs: DataFrame, arguments: DataFrame, inside: DataFrame, by_containment: tuple[str, ...] = ("time",), by_either: tuple[str, ...] = ("place", "origin", "destination"), at_most: DataFrame | None = None) -> DataFrame:
+    """pairs (a, b of events) with ``conflict``: whether a role that both have lacks a pair of fillers that agree.
+
+    arguments: event, role, value. inside: (value, outer), what lies in what; a value lies in itself. Fillers of a role of
+    ``by_containment`` agree if one lies in the other, of ``by_either`` also if their strings are compatible, of all other roles if
+    the strings are. at_most: (a, b, role, n); these pairs conflict in the role only with over n different fillers together.
+    """
+    x = arguments.select(F.col("event").alias("a"), "role", F.col("value").alias("va")).distinct()
+    y = arguments.select(F.col("event").alias("b"), "role", F.col("value").alias("vb")).distinct()
+    both = pairs.join(x, "a").join(y, ["b", "role"])
+    holds = inside.select(F.col("value").alias("va"), F.col("outer").alias("vb"), F.lit(True).alias("held"))
+    holds = holds.union(inside.select("outer", "value", F.lit(True))).distinct()
+    both = both.join(holds, ["va", "vb"], "left")
+    held, same = F.col("held").isNotNull() | (F.col("va") == F.col("vb")), compatible_strings(F.col("va"), F.col("vb"))
+    ok = F.when(F.col("role").isin(*by_containment), held).when(F.col("role").isin(*by_either), held | same).otherwise(same)
+    roles = both.groupBy("a", "b", "role").agg(F.bool_or(ok).alias("ok"), F.array_distinct(F.flatten(F.array(F.collect_set("va"), F.collect_set("vb")))).alias("all"))
+    if at_most is not None:
+        roles = roles.join(at_most, ["a", "b", "role"], "left").withColumn("ok", F.when(F.col("n").isNotNull(), F.size("all") <= F.col("n")).otherwise(F.col("ok")))
+    bad = roles.groupBy("a", "b").agg(F.bool_or(~F.col("ok")).alias("conflict"))
+    return pairs.join(bad, ["a", "b"], "left").withColumn("conflict", F.coalesce("conflict", F.lit(False)))

@@ -314,3 +314,19 @@ def similarity_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     mean = F.zip_with(part("c", 0), part("c", 1), lambda a, b: (a + b) / 2)
     n = c.select(F.col("label").alias("node"), part("c", 0).alias("node_name"), F.array(part("c", 0), part("c", 1)).alias("node_exemplars"), mean.alias("node_average"), part("c", 1).alias("node_participants"), part("c", 2).alias("node_processes"), part("c", 3).alias("node_properties"), F.col("c").alias("node_context"))
     return O.best_by_mode(m, n)
+
+
+@query("""WITH g AS (SELECT DISTINCT l_orderkey AS event, CASE l_returnflag WHEN 'A' THEN 'time' WHEN 'N' THEN 'place' ELSE 'agent' END AS role, l_suppkey % 10 AS v FROM lineitem), p AS (SELECT DISTINCT x.event AS a, y.event AS b FROM g x JOIN g y ON y.event = x.event + 1),
+    j AS (SELECT x.event AS a, y.event AS b, x.role, bool_or(x.v = y.v OR x.role <> 'agent' AND abs(x.v - y.v) = 5) AS ok, count(DISTINCT x.v) + count(DISTINCT CASE WHEN y.v NOT IN (SELECT v FROM g z WHERE z.event = x.event AND z.role = x.role) THEN y.v END) AS n FROM g x JOIN g y ON y.event = x.event + 1 AND x.role = y.role GROUP BY ALL)
+    SELECT p.a, p.b, coalesce(bool_or(NOT CASE WHEN p.a % 4 = 0 AND role = 'agent' THEN n <= 2 ELSE ok END), false) AS conflict FROM p LEFT JOIN j USING (a, b) GROUP BY ALL""")
+def argument_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether an order's arguments conflict with those of the next one; some pairs may have two agents together."""
+    from factloom.operators import coreference as C
+
+    role = F.when(F.col("l_returnflag") == "A", "time").when(F.col("l_returnflag") == "N", "place").otherwise("agent")
+    g = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event"), role.alias("role"), F.concat(F.lit("v"), F.col("l_suppkey") % 10).alias("value")).distinct()
+    events = g.select("event").distinct()
+    pairs = events.select(F.col("event").alias("a"), (F.col("event") + 1).alias("b")).join(events.select(F.col("event").alias("b")), "b", "left_semi").select("a", "b")
+    inside = spark.createDataFrame([(f"v{k + 5}", f"v{k}") for k in range(5)], "value string, outer string")
+    two = pairs.where("a % 4 = 0").select("a", "b", F.lit("agent").alias("role"), F.lit(2).alias("n"))
+    return C.argument_conflicts(pairs, g, inside, at_most=two)
