@@ -165,7 +165,7 @@ def test_threshold_pairs_equal_brute_force(spark):
     v = rng.normal(size=(60, 4))
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "id long, v array<double>")
-    got = {(r.a, r.b) for r in vectors.threshold_pairs(df, "id", "v", 0.7, blocks=3).collect()}
+    got = {(r.a, r.b) for r in vectors.threshold_pairs(df, "id", "v", 0.7, rows=10).collect()}
     assert got == {(i, j) for i in range(60) for j in range(i + 1, 60) if round(float(u[i] @ u[j]), 6) >= 0.7}
 
 
