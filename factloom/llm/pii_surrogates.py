@@ -88,11 +88,12 @@ _LONGER = 3
 
 
 def kind_of(entity: Column) -> Column:
-    """The first kind whose pattern matches the entity alone; ``none`` for a card number without a valid check digit."""
+    """The first kind whose pattern matches the entity alone; ``none`` for a card number without a valid check digit or issuer (2 to 6)."""
     out = None
     for kind, pattern in KINDS.items():
         cond = entity.rlike(f"^(?:{pattern})$") if kind != "person" else entity.rlike(_NAMES)
-        label = F.when(_luhn_sum(F.regexp_replace(entity, "[^0-9]", "")) % 10 == 0, kind).otherwise("none") if kind == "card" else F.lit(kind)
+        issued = (entity >= "2") & (entity < "7") & (_luhn_sum(F.regexp_replace(entity, "[^0-9]", "")) % 10 == 0)
+        label = F.when(issued, kind).otherwise("none") if kind == "card" else F.lit(kind)
         out = F.when(cond, label) if out is None else out.when(cond, label)
     return out.otherwise("secret")
 

@@ -636,7 +636,7 @@ SEEN_IN = ["We met {} at the fair.", "a letter by {} was read", "{} said that it
 NO_PERSON = [
     "The Apache License covers it, and so does the General Public License.", "We went from New York to San Francisco by Air France.", "On Monday Morning the bank was closed.",
     "It was the best of times. The worst came later. And then some.", "Made by Acme Inc in the United States.", "See Figure Two and Table Three of the paper.", "Der Hund und die Katze. Das Haus.",
-    "version 1.2.3.4567 of 2021-01-05, order 1234 5678 9012 34", "call 12:30:45 std::vector a::b 10:20", "sum 0123456789 and 99999999999999", "4529603461135147 is no card", "The token: description", "x=3, y=4",
+    "version 1.2.3.4567 of 2021-01-05, order 1234 5678 9012 34", "call 12:30:45 std::vector a::b 10:20", "sum 0123456789 and 99999999999999", "4529603461135147 is no card", "nor is 9656005089711094", "The token: description", "x=3, y=4",
 ]
 
 
