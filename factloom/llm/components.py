@@ -24,13 +24,18 @@ def _state(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` that isn't the smallest of its component.
 
     The component is its smallest node. Self-links and repeated links are fine. Each round is cut by a reliable
     checkpoint, so a lost executor costs one round at most; the number of rounds is logarithmic in the longest path.
+    With ``rounds`` it ends after so many: a component may then have several labels, but no label is in two components.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
+    if rounds is not None:
+        for _ in range(rounds):
+            e = _small(_large(e).distinct()).distinct()
+        return cut(e.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component")))
     e = cut(e)
     was = _state(e)
     while was[0]:

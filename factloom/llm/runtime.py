@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from pathlib import Path
@@ -70,5 +71,12 @@ def keep_rows(docs: DataFrame, row: Column, rows: DataFrame) -> DataFrame:
     return kept.unionByName(once.select("kept_row.*"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more; else they stay until the driver happens
+    to collect its garbage, and a job of many steps holds the disk of all of them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -91,7 +91,8 @@ def external_shuffle(docs: DataFrame, shards: int, text_col: str = "text", seed:
     flat = flat.withColumn(bucket_, bucket)
     counts = flat.select(bucket_).groupBy(bucket_).agg(F.count("*").alias("_n"))
     before = _running(counts, bucket_).withColumnRenamed("before", before_)
-    scattered = entries(flat, back=True).join(before, bucket_).repartition(max(1, math.ceil(buckets / buckets_a_task)), bucket_)
+    # Dealt out first: the join and the groups then use the same partitions, and the rows move once.
+    scattered = entries(flat, back=True).repartition(max(1, math.ceil(buckets / buckets_a_task)), bucket_).join(before, bucket_)
     schema = S.StructType([*docs.schema.fields, S.StructField("shard", S.IntegerType()), S.StructField("slot", S.LongType())])
 
     def shuffled(group: pa.Table) -> pa.Table:

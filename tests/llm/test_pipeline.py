@@ -80,7 +80,7 @@ def test_near_copies_of_edited_texts(spark):
 def test_near_copies_of_hot_groups(spark, monkeypatch, tile):
     """Chains of edits from one text, and a passage in texts of their own; with buckets whole and cut into tiles."""
     whole = near_copies._tiles
-    monkeypatch.setattr(near_copies, "_tiles", lambda known, sizes: whole(known, sizes, tile))
+    monkeypatch.setattr(near_copies, "_tiles", lambda known, sets: whole(known, sets, tile))
     rng = np.random.default_rng(5)
     word = lambda: f"w{rng.integers(0, 9000)}"
     chain = [[word() for _ in range(80)]]
