@@ -75,7 +75,8 @@ def propagated_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     o = table(spark, sf_dir, "orders").withColumn("sent_no", F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")))
     events = o.select(F.col("o_custkey").alias("doc"), "sent_no", F.col("o_orderkey").alias("mention"))
-    actors = o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("mention"), F.lit("has_actor").alias("role"), F.round(F.col("o_totalprice") / 1000).cast("long").alias("entity"))
+    # The SQL's cast takes a half to the even neighbour, as rint does and round does not.
+    actors = o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("mention"), F.lit("has_actor").alias("role"), F.rint(F.col("o_totalprice") / 1000).cast("long").alias("entity"))
     return E.propagate_arguments(events, actors, ["has_actor"], 3)
 
 

@@ -43,6 +43,22 @@ def test_added_and_propagated_arguments(spark):
     assert got == {(101, 1), (102, 1)}  # 104 is four sentences away, and 103 has two
 
 
+def test_propagated_halves_equal_sql(spark, tmp_path):
+    """Prices half-way between two thousands go to the even one, as in the SQL."""
+    import duckdb
+
+    from factloom.plans import registry, rule_queries  # noqa: F401
+
+    rows = [(2 * k + f, k, "FO"[f], 1000.0 * k + 500, f"1995-01-0{f + 1}") for k in range(6) for f in range(2)]
+    df = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, d string")
+    df.selectExpr("* except(d)", "cast(d as timestamp) as o_orderdate").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.QUERIES["propagated_arguments"](spark, str(tmp_path)).select("mention", "role", "entity").collect()
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    want = duck.execute(f"SELECT mention, role, entity FROM ({registry.ORACLE_SQL['propagated_arguments']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and {e for *_, e in want} == {0, 2, 4, 6}
+
+
 def test_ontology_of_a_file(spark, tmp_path):
     tree = [{"root # top": [{"a": [{"OntologyNode": None, "name": "x", "examples": ["one", "two # second"]}, {"b": [{"OntologyNode": None, "name": "x", "examples": ["three"]}]}]}]}]
     (tmp_path / "o.json").write_text(json.dumps(tree))
