@@ -1,4 +1,5 @@
-"""Agglomerative clustering and clustering by committee. Groups are clustered in parallel; a group must fit in a task."""
+"""Agglomerative clustering and clustering by committee. Groups are clustered in parallel; the vectors of a group must fit in
+a task, their similarities need not: those of unit vectors follow from sums of vectors, and are made in blocks."""
 
 from __future__ import annotations
 
@@ -39,6 +40,85 @@ def hac(similarity: np.ndarray, floor: float = 0.0) -> list[tuple[tuple[int, ...
     return out
 
 
+def hac_units(units: np.ndarray, floor: float = 0.0, listed: int = 12, cells: int = 1 << 20) -> list[tuple[int, int, float]]:
+    """Merges (least member, least member, average similarity) of ``hac`` over the products of unit (or zero) vectors.
+
+    The sum of similarities between clusters is the product of their sums of vectors, so memory goes with the number of
+    vectors. Each cluster has a list of its best partners and a bound on its scores with all others. A merge takes two from
+    the lists and may bring in the merged cluster; a cluster whose list has nothing above its bound is looked at again once
+    that bound is the largest of all. Scores are rounded to 12 digits, so that equal ones are ties.
+    """
+    n = len(units)
+    total = units.astype(float).copy()
+    within, size, head, gone = np.zeros(n), np.ones(n), np.arange(n), np.zeros(n, bool)
+    best, partner, bound, known = np.full(n, -np.inf), np.full(n, -1), np.full(n, -np.inf), np.zeros(n, bool)
+    value, other = np.full((n, listed), -np.inf), np.full((n, listed), -1)
+
+    def scores(rows: np.ndarray) -> np.ndarray:
+        m = size + size[rows, None]
+        out = np.round((within + within[rows, None] + 2 * (total[rows] @ total.T)) / (m * (m - 1)), 12)
+        out[:, gone] = -np.inf
+        out[np.arange(len(rows)), rows] = -np.inf
+        return out
+
+    def look(rows: np.ndarray) -> None:
+        x = scores(rows)
+        partner[rows], best[rows], known[rows] = x.argmax(axis=1), x.max(axis=1), True
+        bound[rows], value[rows] = -np.inf, -np.inf
+        if x.shape[1] > listed:
+            top = np.argpartition(x, -listed - 1, axis=1)[:, -listed - 1 :]
+            v = np.take_along_axis(x, top, 1)
+            bound[rows], value[rows], other[rows] = v[:, 0], v[:, 1:], top[:, 1:]
+        else:
+            value[rows, : x.shape[1]], other[rows, : x.shape[1]] = x, np.arange(x.shape[1])
+
+    step = max(1, cells // max(n, 1))
+    for at in range(0, n, step):
+        look(np.arange(at, min(at + step, n)))
+    out = []
+    while n > 1:
+        i = int(best.argmax())
+        if best[i] <= floor:
+            break
+        if not known[i]:
+            first = np.flatnonzero(~known & (best >= best[known].max(initial=-np.inf)))
+            look(first[np.argsort(-best[first], kind="stable")[: max(1, min(64, step))]])
+            continue
+        j, top = int(partner[i]), float(best[i])
+        if j < i:
+            i, j = j, i
+        out.append((int(head[i]), int(head[j]), top))
+        within[i] += within[j] + 2 * float(total[i] @ total[j])
+        total[i] += total[j]
+        size[i] += size[j]
+        gone[j], total[j] = True, 0
+        row = scores(np.array([i]))[0]
+        value[(other == i) | (other == j)] = -np.inf
+        lost = (partner == i) | (partner == j)
+        over = known & ~lost & ((row > best) | ((row == best) & (partner > i)))
+        best[over], partner[over] = row[over], i
+        # The merged cluster goes into the lists, in place of the last one there.
+        into = np.flatnonzero(row > bound)
+        slot = value[into].argmin(axis=1)
+        last = value[into, slot]
+        up = row[into] > last
+        bound[into] = np.maximum(bound[into], np.minimum(last, row[into]))
+        value[into[up], slot[up]], other[into[up], slot[up]] = row[into[up]], i
+        open_ = np.flatnonzero((lost | ~known) & ~gone)
+        m = value[open_].max(axis=1)
+        known[open_] = m > bound[open_]
+        best[open_] = np.maximum(m, bound[open_])
+        partner[open_] = np.where(value[open_] == m[:, None], other[open_], n).min(axis=1)
+        best[j], known[j] = -np.inf, True
+        look(np.array([i]))
+        if gone.mean() > 0.3:
+            live = np.flatnonzero(~gone)
+            at = np.append(np.cumsum(~gone) - 1, -1)
+            partner, other, n = at[partner[live]], at[other[live]], len(live)
+            total, within, size, head, best, bound, known, value, gone = (x[live] for x in (total, within, size, head, best, bound, known, value, gone))
+    return out
+
+
 def best_cohesion(similarity: np.ndarray) -> tuple[tuple[int, ...], float]:
     """The cluster of the tree whose n * average similarity is largest."""
     best: tuple[tuple[int, ...], float] = ((0,) if len(similarity) else (), 0.0)
@@ -94,10 +174,14 @@ def assign(similarity: np.ndarray, groups: list[tuple[int, ...]]) -> np.ndarray:
     return out
 
 
-def _cosines(vectors: pd.Series) -> np.ndarray:
+def _units(vectors: pd.Series) -> np.ndarray:
     v = np.stack([np.asarray(x, float) for x in vectors]) if len(vectors) else np.zeros((0, 1))
-    v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-    return v @ v.T
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def _by_group(df: DataFrame, group: str, run, schema: str) -> DataFrame:
+    """Groups dealt over a stated number of partitions, as a few small ones would else be put into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), group).groupBy(group).applyInPandas(run, schema)
 
 
 def hac_by_group(df: DataFrame, group: str, item: str, vector: str, stop: float = 0.0) -> DataFrame:
@@ -105,14 +189,14 @@ def hac_by_group(df: DataFrame, group: str, item: str, vector: str, stop: float
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(item).reset_index(drop=True)
-        owner = list(range(len(pdf)))
-        for a, b, _ in hac(_cosines(pdf[vector]), stop):
-            for m in (*a, *b):
-                owner[m] = min(a[0], b[0])
-        return pd.DataFrame({group: pdf[group], item: pdf[item], "cluster": [pdf[item][o] for o in owner]})
+        owner = np.arange(len(pdf))
+        # Backwards: what a cluster is merged into later is known first.
+        for a, b, _ in reversed(hac_units(_units(pdf[vector]), stop)):
+            owner[b] = owner[a]
+        return pd.DataFrame({group: pdf[group], item: pdf[item], "cluster": pdf[item].to_numpy()[owner]})
 
     kind = dict(df.dtypes)
-    return df.select(group, item, vector).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {item} {kind[item]}, cluster {kind[item]}")
+    return _by_group(df.select(group, item, vector), group, run, f"{group} {kind[group]}, {item} {kind[item]}, cluster {kind[item]}")
 
 
 def cbc_by_group(df: DataFrame, group: str, item: str, vector: str, **options) -> DataFrame:
@@ -120,11 +204,12 @@ def cbc_by_group(df: DataFrame, group: str, item: str, vector: str, **options) -
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(item).reset_index(drop=True)
-        s = _cosines(pdf[vector])
+        u = _units(pdf[vector])
+        s = u @ u.T
         return pd.DataFrame({group: pdf[group], item: pdf[item], "committee": assign(s, committees(s, **options))})
 
     kind = dict(df.dtypes)
-    return df.select(group, item, vector).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {item} {kind[item]}, committee int")
+    return _by_group(df.select(group, item, vector), group, run, f"{group} {kind[group]}, {item} {kind[item]}, committee int")
 
 
 def farthest_first(vectors: np.ndarray, n: int) -> list[int]:

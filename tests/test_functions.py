@@ -152,6 +152,31 @@ def test_hac_and_committees():
     assert set(np.array(clustering.farthest_first(v, 3)) // 6) == {0, 1, 2}
 
 
+def units(n, d, seed, whole=False):
+    v = np.random.default_rng(seed).normal(size=(n, d))
+    v[n // 2 :] = v[: n - n // 2] + 0.3 * v[n // 2 :]
+    if whole:  # along the axes, so that all products are exact and many are equal
+        v = np.where(np.abs(v) == np.abs(v).max(axis=1, keepdims=True), np.sign(v), 0) * (np.arange(n)[:, None] % 7 > 0)
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def test_hac_of_units_needs_no_similarity_matrix():
+    """The merges are those of the matrix, ties and zero vectors included; memory goes with the number of vectors."""
+    import tracemalloc
+
+    for seed, (n, d) in enumerate([(0, 2), (1, 2), (2, 3), (90, 2), (150, 3), (150, 8)]):
+        for stop in (-1.0, 0.0, 0.3):
+            u = units(n, d, seed, seed % 2 == 1)
+            want = [(a[0], b[0]) for a, b, _ in clustering.hac(u @ u.T, stop)]
+            assert [m[:2] for m in clustering.hac_units(u, stop)] == want
+            assert [m[:2] for m in clustering.hac_units(u, stop, listed=2, cells=300)] == want
+    u = units(4000, 4, 0)
+    tracemalloc.start()
+    clustering.hac_units(u, 0.9999)
+    assert tracemalloc.get_traced_memory()[1] < 4000 * 4000 * 8 / 2
+    tracemalloc.stop()
+
+
 def test_cluster_groups(spark):
     rows = [(g, 10 * g + k, [1.0, 0.01 * k] if k < 3 else [-1.0, 0.01 * k]) for g in range(2) for k in range(6)]
     df = spark.createDataFrame(rows, "g long, id long, v array<double>")
