@@ -174,6 +174,116 @@ def assign(similarity: np.ndarray, groups: list[tuple[int, ...]]) -> np.ndarray:
     return out
 
 
+def best_cohesions(similarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """best_cohesion of many similarity matrices (b, n, n) at once: members (b, n) boolean, and values (b)."""
+    b, n, _ = similarity.shape
+    cross, at, cols = similarity.astype(float).copy(), np.arange(b), np.arange(n)
+    cross[:, cols, cols] = 0
+    within, size, owner, dead = np.zeros((b, n)), np.ones((b, n)), np.tile(cols, (b, 1)), np.zeros((b, n), bool)
+    score = np.where(cols[:, None] < cols, cross, -np.inf)
+    best, members = np.zeros(b), np.zeros((b, n), bool)
+    members[:, :1] = True
+    for _ in range(n - 1):
+        flat = score.reshape(len(at), -1).argmax(axis=1)
+        k, i, j = np.arange(len(at)), flat // n, flat % n
+        top = score[k, i, j]
+        if not (top > 0).all():
+            on = top > 0
+            cross, within, size, owner, dead, score, at, i, j, top = (x[on] for x in (cross, within, size, owner, dead, score, at, i, j, top))
+            k = np.arange(len(at))
+            if not len(at):
+                break
+        within[k, i] += within[k, j] + 2 * cross[k, i, j]
+        cross[k, i] += cross[k, j]
+        cross[k, :, i] = cross[k, i]
+        cross[k, i, i] = 0
+        size[k, i] += size[k, j]
+        owner = np.where(owner == j[:, None], i[:, None], owner)
+        dead[k, j] = True
+        m = size + size[k, i][:, None]
+        new = np.where(dead, -np.inf, (within + within[k, i][:, None] + 2 * cross[k, i]) / (m * (m - 1)))
+        score[k, i] = np.where(cols > i[:, None], new, -np.inf)
+        score[k, :, i] = np.where(cols < i[:, None], new, -np.inf)
+        score[k, j], score[k, :, j] = -np.inf, -np.inf
+        value = size[k, i] * top
+        better = value > best[at]
+        best[at[better]], members[at[better]] = value[better], owner[better] == i[better, None]
+    return members, best
+
+
+def nearest_rows(units: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """(rows, k): for each of ``rows`` the k nearest others of them, nearest first; ties go to the earlier one."""
+    x, out = units[rows], []
+    k = min(k, len(rows) - 1)
+    step = max(1, (1 << 21) // max(len(rows), 1))
+    for at in range(0, len(rows), step):
+        s = x[at : at + step] @ x.T
+        own = np.arange(len(s))
+        s[own, at + own] = -np.inf
+        least = np.partition(s, len(rows) - k, axis=1)[:, len(rows) - k, None]
+        row, top = np.nonzero(s >= least)
+        if len(top) > k * len(s):  # several at the least similarity: the earlier ones
+            over, tied = s > least, s == least
+            row, top = np.nonzero(over | (tied & (np.cumsum(tied, axis=1) <= k - over.sum(axis=1, keepdims=True))))
+        top = top.reshape(len(s), k)
+        out.append(np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1, kind="stable"), 1))
+    return rows[np.concatenate(out)]
+
+
+def committees_of_units(units: np.ndarray, k: int = 50, committee_threshold: float = 0.35, residue_threshold: float = 0.25, rounds: int = 10) -> list[tuple[int, ...]]:
+    """``committees`` over the products of unit vectors: neighbours are sought in blocks, their trees are made many at a time,
+    and the average similarity of two groups is the product of their mean vectors."""
+    kept: list[tuple[int, ...]] = []
+    means = np.zeros((0, units.shape[1]))
+    left = np.arange(len(units))
+    for _ in range(rounds):
+        if len(left) < 2 or k < 1:
+            break
+        found: dict[tuple[int, ...], float] = {}
+        near = nearest_rows(units, left, k)
+        for at in range(0, len(near), 64):
+            order = near[at : at + 64]
+            s = units[order] @ units[order].transpose(0, 2, 1)
+            members, cohesion = best_cohesions((s + s.transpose(0, 2, 1)) / 2)
+            found.update((tuple(np.sort(o[m]).tolist()), c) for o, m, c in zip(order, members, cohesion.tolist()))
+        values = np.array(list(found.values()))
+        floor = max(values.mean() - values.std(), 0)
+        ranked = [c for c, cohesion in sorted(found.items(), key=lambda x: (-x[1], x[0])) if cohesion >= floor]
+        before = len(kept)
+        for at in range(0, len(ranked), 256):
+            block = ranked[at : at + 256]
+            mean = np.stack([units[list(c)].mean(axis=0) for c in block])
+            # Those like a committee of an earlier block go at once; the others are held against those that this block adds.
+            unlike, new = np.flatnonzero((mean @ means.T).max(axis=1, initial=-np.inf) <= committee_threshold), []
+            while len(unlike):
+                new.append(unlike[0])
+                unlike = unlike[1:][mean[unlike[1:]] @ mean[unlike[0]] <= committee_threshold]
+            kept += [block[x] for x in new]
+            means = np.vstack([means, mean[new]])
+        if len(kept) == before:
+            break
+        like = np.concatenate([(units[left[at : at + 4096]] @ means.T).max(axis=1) for at in range(0, len(left), 4096)])
+        rest = left[like < residue_threshold]
+        if not len(rest) or len(rest) == len(left):
+            break
+        left = rest
+    return kept
+
+
+def assign_units(units: np.ndarray, groups: list[tuple[int, ...]]) -> np.ndarray:
+    """``assign`` over the products of unit vectors."""
+    out = np.full(len(units), -1)
+    for g in reversed(range(len(groups))):
+        out[list(groups[g])] = g
+    free = np.flatnonzero(out < 0)
+    if groups:
+        means = np.stack([units[list(c)].mean(axis=0) for c in groups])
+        for at in range(0, len(free), 4096):
+            scores = units[free[at : at + 4096]] @ means.T
+            out[free[at : at + 4096]] = np.where(scores.max(axis=1) > 0, scores.argmax(axis=1), -1)
+    return out
+
+
 def _units(vectors: pd.Series) -> np.ndarray:
     v = np.stack([np.asarray(x, float) for x in vectors]) if len(vectors) else np.zeros((0, 1))
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
@@ -205,8 +315,7 @@ def cbc_by_group(df: DataFrame, group: str, item: str, vector: str, **options) -
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(item).reset_index(drop=True)
         u = _units(pdf[vector])
-        s = u @ u.T
-        return pd.DataFrame({group: pdf[group], item: pdf[item], "committee": assign(s, committees(s, **options))})
+        return pd.DataFrame({group: pdf[group], item: pdf[item], "committee": assign_units(u, committees_of_units(u, **options))})
 
     kind = dict(df.dtypes)
     return _by_group(df.select(group, item, vector), group, run, f"{group} {kind[group]}, {item} {kind[item]}, committee int")

@@ -177,6 +177,20 @@ def test_hac_of_units_needs_no_similarity_matrix():
     tracemalloc.stop()
 
 
+@pytest.mark.parametrize("k", [3, 50])
+def test_committees_of_units_equal_those_of_the_matrix(k):
+    for seed, (n, d) in enumerate([(1, 2), (2, 2), (40, 3), (90, 5), (120, 12)]):
+        u = units(n, d, seed)
+        groups = clustering.committees(u @ u.T, k)
+        assert clustering.committees_of_units(u, k) == groups
+        assert clustering.assign_units(u, groups).tolist() == clustering.assign(u @ u.T, groups).tolist()
+    s = np.stack([units(30, 4, x) @ units(30, 4, x).T for x in range(9)])
+    members, values = clustering.best_cohesions(s)
+    for x in range(9):
+        want, value = clustering.best_cohesion(s[x])
+        assert tuple(np.flatnonzero(members[x])) == want and values[x] == pytest.approx(value)
+
+
 def test_cluster_groups(spark):
     rows = [(g, 10 * g + k, [1.0, 0.01 * k] if k < 3 else [-1.0, 0.01 * k]) for g in range(2) for k in range(6)]
     df = spark.createDataFrame(rows, "g long, id long, v array<double>")
