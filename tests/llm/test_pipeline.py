@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as C
@@ -76,6 +77,23 @@ def test_near_copies_of_edited_texts(spark):
     assert got == similar_classes(dict(enumerate(texts)))
 
 
+def test_stage_joins_fingerprints_by_the_trie(spark, monkeypatch):
+    """The stage's first candidates are those of op5's trie join, over five-word shingles; copies that it links are tied by it
+    alone, and what it links wrongly is not."""
+    seen, whole = [], near_copies.simhash.similar_links
+    monkeypatch.setattr(near_copies.simhash, "similar_links", lambda nodes, *a, **k: seen.append(nodes.collect()) or whole(nodes, *a, **k))
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 9000, 400)]
+    texts = [" ".join(base), " ".join([*base[:-1], "end"]), " ".join(f"v{x}" for x in rng.integers(0, 9000, 50)), "", None]
+    frame = docs(spark, texts)
+    assert {r.doc_id for r in C.near_duplicates(spark, frame, SF).collect()} == {0, 2, 3}
+    want = near_copies.simhash.fingerprints(pa.array(texts), near_copies.SHINGLE).view(np.int64)
+    assert [{r.fp for r in s} for s in seen] == [set(want.tolist())]
+    sets = spark.createDataFrame([(bytes([k]), int(c)) for k, c in enumerate([*want[:3], want[0]])], "fp binary, code long")
+    got = {(r.a[0], r.b[0]) for r in near_copies._trie_pairs(sets).collect()}
+    assert got == {(0, 1), (0, 3)}
+
+
 @pytest.mark.parametrize("tile", [2000, 5])
 def test_near_copies_of_hot_groups(spark, monkeypatch, tile):
     """Chains of edits from one text, and a passage in texts of their own; with buckets whole and cut into tiles."""
