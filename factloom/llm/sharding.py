@@ -20,6 +20,8 @@ from factloom.llm.runtime import cut, ensure_importable, free
 
 #: Bytes of records in a bucket.
 BUCKET_BYTES = 8 << 20
+#: Hot rows of which every task holds the hashes (8 bytes each); where there are more, the rows move to them.
+BROADCAST_ROWS = 1 << 20
 #: Bytes of a record beside its text.
 RECORD_BYTES = 8
 
@@ -47,12 +49,15 @@ def _running(counts: DataFrame, bucket: str, width: int = 4096) -> DataFrame:
 def _copies(docs: DataFrame, row_: str, copy_: str, most: int, chunk: int = 1000) -> DataFrame:
     """docs with a number for each copy of the rows that occur over ``most`` times; 0 for all others.
 
-    Copies are counted on the map side, so one row stands for all that a task has, and made again in chunks.
+    Copies are counted on the map side, so one row stands for all that a task has, and made again in chunks. Each hot row has over
+    ``most`` copies, so they are few, and their hashes go to the rows; other rows are not moved to be told apart from them.
     """
     hot = docs.groupBy(row_).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(row_)
     hot = cut(hot)
-    if hot.isEmpty():
+    found = hot.count()
+    if not found:
         return docs.withColumn(copy_, F.lit(0).cast("long"))
+    hot = F.broadcast(hot) if found <= BROADCAST_ROWS else hot
     names = docs.columns
     once = docs.join(hot, row_, "left_semi").groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count("*").alias(copy_ + "n"))
     parts = once.withColumn(copy_ + "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copy_ + "n") - 1, F.lit(chunk).cast("long")))).repartition(row_, copy_ + "at")
@@ -71,7 +76,7 @@ def external_shuffle(docs: DataFrame, shards: int, text_col: str = "text", seed:
     """
     ensure_importable(docs.sparkSession)
     docs = docs.drop("shard", "slot")
-    row_, bucket_, before_, copy_ = free(docs, "_srow", "_sbucket", "_sbefore", "_scopy")
+    row_, bucket_, copy_ = free(docs, "_srow", "_sbucket", "_scopy")
     names, maps = docs.columns, [f.name for f in docs.schema.fields if isinstance(f.dataType, S.MapType)]
     nested = [f.name for f in docs.schema.fields if f.name not in maps and "map<" in f.dataType.simpleString() or f.name in maps and f.dataType.simpleString().count("map<") > 1]
     weight = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long") + RECORD_BYTES
@@ -90,24 +95,27 @@ def external_shuffle(docs: DataFrame, shards: int, text_col: str = "text", seed:
     bucket = F.pmod(F.when(F.col(copy_) == 0, F.col(row_)).otherwise(F.xxhash64(row_, copy_)), F.lit(buckets))
     flat = flat.withColumn(bucket_, bucket)
     counts = flat.select(bucket_).groupBy(bucket_).agg(F.count("*").alias("_n"))
-    before = _running(counts, bucket_).withColumnRenamed("before", before_)
-    # Dealt out first: the join and the groups then use the same partitions, and the rows move once.
-    scattered = entries(flat, back=True).repartition(max(1, math.ceil(buckets / buckets_a_task)), bucket_).join(before, bucket_)
+    before = _running(counts, bucket_).withColumnRenamed(bucket_, "bucket")
+    # Both sides are dealt out alike, so their groups meet without a further exchange, and the rows move once. For a join Spark would
+    # move them again, to its own number of partitions, and back for the groups.
+    tasks = max(1, math.ceil(buckets / buckets_a_task))
+    scattered = entries(flat, back=True).repartition(tasks, bucket_)
+    before = before.repartition(tasks, "bucket")
     schema = S.StructType([*docs.schema.fields, S.StructField("shard", S.IntegerType()), S.StructField("slot", S.LongType())])
 
-    def shuffled(group: pa.Table) -> pa.Table:
+    def shuffled(group: pa.Table, at: pa.Table) -> pa.Table:
         n = group.num_rows
         # The rows arrive in any order, so they are put in one that depends on the rows alone.
         keys = pa.table({"r": group.column(row_), "t": group.column(text_col)})
         order = pc.sort_indices(keys, sort_keys=[("r", "ascending"), ("t", "ascending")]).to_numpy()
         order = order[fisher_yates(n, seed * 1_000_003 + int(group.column(bucket_)[0].as_py()))]
-        place = int(group.column(before_)[0].as_py()) + np.arange(n, dtype=np.int64)
+        place = int(at.column("before")[0].as_py()) + np.arange(n, dtype=np.int64)
         shard = place * shards // rows
         first = -(-shard * rows // shards)
         out = group.select(names).take(pa.array(order))
         return out.append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - first))
 
-    return scattered.groupBy(bucket_).applyInArrow(shuffled, schema)
+    return scattered.groupBy(bucket_).cogroup(before.groupBy("bucket")).applyInArrow(shuffled, schema)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, **options) -> None:

@@ -356,6 +356,40 @@ def test_shuffle_splits_hot_rows(spark):
     assert sorted(r.copy for r in flat.where("doc_id = 'a'").collect()) == list(range(4000)) and flat.where("doc_id != 'a' and copy = 0").count() == 500
 
 
+def plan_nodes(plan):
+    """The nodes of a plan that has run, with those inside of its stages."""
+    yield plan
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        kids = [plan.executedPlan()]
+    elif plan.nodeName().endswith("QueryStage"):
+        kids = [plan.plan()]
+    else:
+        kids = [plan.children().apply(i) for i in range(plan.children().size())]
+    for kid in kids:
+        yield from plan_nodes(kid)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "256k"])
+@pytest.mark.parametrize("hot", [0, 1000])
+def test_shuffle_moves_rows_once(spark, hot, threshold):
+    """No other exchange moves the texts again, whether Spark would broadcast or not, and with rows that are repeated often."""
+    rng = random.Random(4)
+    rows = [(k, f"{rng.getrandbits(3200):x}") for k in range(3000)]
+    frame = spark.createDataFrame(rows + [(-1, "a repeated row " * 50)] * hot, "doc_id long, text string").repartition(4)
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": threshold}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = sharding.external_shuffle(frame, 5, bucket_bytes=200_000)
+        assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter((r.doc_id, r.text) for r in frame.collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    moved = [x.metrics().apply("shuffleBytesWritten").value() for x in plan_nodes(out._jdf.queryExecution().executedPlan()) if x.nodeName() == "Exchange" and "RoundRobin" not in x.simpleString(100)]
+    assert sum(x > 1_000_000 for x in moved) == 1 and sum(moved) < 1.5 * sum(len(t) for _, t in rows)
+
+
 # -- 5 -------------------------------------------------------------------------------------------------------------------
 
 
